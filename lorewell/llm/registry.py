@@ -3,21 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules, url_filters
+from . import chat_format, mixing, packing, quality_rules, top_k, url_filters
 from .common import table
 
 
+def vocabulary() -> str:
+    """The path of the public byte-level vocabulary on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filters.rule_table(spark, URL_RULES)
     return url_filters.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 2048)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat_format.probe(spark))
     return chat_format.digests(chat_format.format_conversations(rows))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), SOURCE_PARTS).select("doc_id", "source", "block", "slot", "place")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -25,13 +45,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The contract's rules: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
+#: Target weights of sources, in parts; other sources have one part each.
+SOURCE_PARTS = {"src0": 10}
+
 QUERIES = {
+    "op1_top_k": op1_top_k,
     "op2_url_filters": op2_url_filters,
+    "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
+    "op6_mixing": op6_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL = {
+    "op1_top_k": top_k.top_k_sql(),
     "op2_url_filters": url_filters.url_filter_sql(URL_RULES),
     "op4_chat_format": chat_format.chat_format_sql(),
 }
