@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, packing, quality_rules, top_k, url_filters
+from . import chat_format, mixing, near_dedup, packing, quality_rules, top_k, url_filters
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 #: The contract's rules: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -55,10 +59,12 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op6_mixing": op6_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {
     "op1_top_k": top_k.top_k_sql(),
     "op2_url_filters": url_filters.url_filter_sql(URL_RULES),
     "op4_chat_format": chat_format.chat_format_sql(),
+    "op10_near_dedup": near_dedup.near_dedup_sql(),
 }
