@@ -143,3 +143,23 @@ def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         out ^= out >> np.uint64(29)
     owner = np.repeat(np.arange(len(words.counts)), words.counts)
     return mix(out), owner[:n] == owner[size - 1 :] if n else np.zeros(0, bool)
+
+
+# ------------------------------------------------------------------ id filters
+
+#: Words of 64 bits in the bit table below: its rows are the bound of what is broadcast (2 MB).
+FILTER_WORDS = 1 << 17
+
+
+def likely_in(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id is perhaps in ``ids`` (its only column), so that fewer go into the exact join after this.
+
+    A bit table of fixed size, whatever the number of ids, is broadcast. With very many
+    ids it lets all rows pass; it never loses one.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * FILTER_WORDS))
+    bit = place(ids[ids.columns[0]])
+    bits = ids.groupBy(F.shiftright(bit, 6).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("__bits"))
+    at = place(F.col(f"`{id_col}`").cast("long"))
+    met = df.join(F.broadcast(bits), F.shiftright(at, 6) == F.col("__word"))
+    return met.filter(F.call_function("getbit", F.col("__bits"), (at % 64).cast("int")) == 1).drop("__word", "__bits")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, near_dedup, packing, quality_rules, top_k, url_filters
+from . import chat_format, language_model, mixing, near_dedup, packing, quality_rules, top_k, toxicity, url_filters
 from .common import table
 
 
@@ -38,6 +38,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), SOURCE_PARTS).select("doc_id", "source", "block", "slot", "place")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return language_model.quality_model(table(spark, sf_dir, "documents"), trusted)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -58,6 +67,8 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
     "op6_mixing": op6_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
 }
