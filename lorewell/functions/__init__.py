@@ -1 +1 @@
-
+"""Helpers of the library."""

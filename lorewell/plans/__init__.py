@@ -1 +1 @@
-
+"""Composed queries of the library."""
