@@ -120,7 +120,7 @@ def _cell(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     empty = pa.table({n: pa.array([], pa.int64()) for n in names})
     if not left.num_rows or not right.num_rows:
         return empty
-    dim = left.column("dim")[0].as_py()
+    dim = left.column("q_dim")[0].as_py()
     q_ids = left.column("query_id").to_numpy()
     kth = left.column("kth").to_numpy()
     scores, found = search(_matrix(left.column("q_vec"), dim), q_ids, kth, _matrix(right.column("vec"), dim), right.column("vec_id").to_numpy(), k)
@@ -154,8 +154,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
         """queries have kth; every pair of block and shard is one group, so one task's work."""
         left = queries.withColumn("shard", F.explode(shard))
         right = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        # Names of its own on one side: both sides stem from the same rows.
+        left = left.select("query_id", "q_vec", "kth", F.col("dim").alias("q_dim"), F.col("shard").alias("q_shard"), F.col("block").alias("q_block"))
         keys = ["dim", "shard", "block"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: _cell(k, a, b), RESULT)
+        return left.groupBy(*(f"q_{c}" for c in keys)).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: _cell(k, a, b), RESULT)
 
     unknown = queries.withColumn("kth", F.lit(NONE).cast("long"))
     first = met(unknown, candidates.filter("shard = 0"), F.array(F.lit(0)))
