@@ -64,29 +64,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = _powers(_P, 1)
-        self.down = self.up
-        inverse = 1
-        for _ in range(6):
-            inverse = inverse * (2 - int(_P) * inverse) % 2**64
-        self.inverse = np.uint64(inverse)
-
-    def need(self, n: int) -> None:
-        if len(self.up) < n:
-            self.up = _powers(_P, n)
-            self.down = _powers(self.inverse, n)
-
-
 def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a string array into blocks: (first row, bytes, offsets of its rows). Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -106,14 +83,18 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         at = end
 
 
+#: By byte: whether it is part of a word, and A-Z lower-cased.
+_INSIDE = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+
+
 class Words:
     """The words of a block of texts: bounds, owners and 64-bit hashes of each word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, powers: Powers, lower: bool = False) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> None:
         n = len(data)
-        if lower:
-            data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        self.inside = inside = _INSIDE[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cuts = offsets[:-1][offsets[:-1] < n]
@@ -122,27 +103,32 @@ class Words:
         last[:-1] &= ~inside[1:]
         cuts = offsets[1:][offsets[1:] > 0] - 1
         last[cuts] = inside[cuts]
-        self.data, self.inside = data, inside
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.start, offsets)
         self.counts = np.diff(self.bounds)
-        powers.need(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * powers.down[self.start] + (self.end - self.start).astype(np.uint64) * _M2)
-
-
-def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``size`` words, and whether each run lies in one text."""
+        # Eight bytes at a time, at any place: a word has few such steps.
+        padded = np.concatenate([_LOWER[data] if lower else data, np.zeros(8, np.uint8)])
+        eights = np.ndarray((n + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        size = self.end - self.start
+        self.hash = mix(size.astype(np.uint64) ^ (eights[self.start] & _TAIL[np.minimum(size, 8)]))
+        at, which = 8, np.flatnonzero(size > 8)
+        while len(which):
+            rest = eights[self.start[which] + at] & _TAIL[np.minimum(size[which] - at, 8)]
+            self.hash[which] = mix(self.hash[which] * _P ^ rest)
+            at += 8
+            which = which[size[which] > at]
+
+
+def windows(words: Words, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words of the block, those that reach from one text into the next included."""
     w = words.hash
     n = max(0, len(w) - size + 1)
     out = np.zeros(n, dtype=np.uint64)
     for k in range(size):
         out = (out ^ w[k : k + n]) * _P + np.uint64(k + 1)
         out ^= out >> np.uint64(29)
-    owner = np.repeat(np.arange(len(words.counts)), words.counts)
-    return mix(out), owner[:n] == owner[size - 1 :] if n else np.zeros(0, bool)
+    return mix(out)
 
 
 # ------------------------------------------------------------------ id filters
@@ -151,15 +137,30 @@ def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 FILTER_WORDS = 1 << 17
 
 
-def likely_in(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """Rows whose id is perhaps in ``ids`` (its only column), so that fewer go into the exact join after this.
+def _with_bit(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows with ``__hit``: whether their id's bit is set in a bit table of ``ids`` (its only column).
 
-    A bit table of fixed size, whatever the number of ids, is broadcast. With very many
-    ids it lets all rows pass; it never loses one.
+    The table has a fixed size, whatever the number of ids, so it can be broadcast.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * FILTER_WORDS))
     bit = place(ids[ids.columns[0]])
     bits = ids.groupBy(F.shiftright(bit, 6).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("__bits"))
     at = place(F.col(f"`{id_col}`").cast("long"))
-    met = df.join(F.broadcast(bits), F.shiftright(at, 6) == F.col("__word"))
-    return met.filter(F.call_function("getbit", F.col("__bits"), (at % 64).cast("int")) == 1).drop("__word", "__bits")
+    met = df.join(F.broadcast(bits), F.shiftright(at, 6) == F.col("__word"), "left")
+    return met.withColumn("__hit", F.coalesce(F.call_function("getbit", F.col("__bits"), (at % 64).cast("int")) == 1, F.lit(False))).drop("__word", "__bits")
+
+
+def likely_in(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id is perhaps in ``ids``, so that fewer go into the exact join after this.
+
+    With very many ids it lets all rows pass; it never loses one.
+    """
+    return _with_bit(df, id_col, ids).filter("__hit").drop("__hit")
+
+
+def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id isn't in ``ids`` (null ids stay); only those that may be in it are shuffled."""
+    marked = _with_bit(df, id_col, ids)
+    gone = ids.select(F.col(ids.columns[0]).alias("__gone")).distinct()
+    doubtful = marked.filter("__hit").drop("__hit").join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+    return marked.filter(~F.col("__hit")).drop("__hit").unionByName(doubtful)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Words, small_batches, text_blocks, windows
+from .common import Words, small_batches, text_blocks, windows
 
 #: Fixed limits of the whole text's ratio: (bytes below, least, most), by length in bytes.
 WHOLE_BANDS = (
@@ -93,7 +93,7 @@ def repeated_words(hashes: np.ndarray) -> int:
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers, zip_ = Powers(), zstandard.ZstdCompressor(level=LEVEL)
+    zip_ = zstandard.ZstdCompressor(level=LEVEL)
     symbol = np.zeros(256, dtype=bool)
     symbol[list(b"#*$%&|<>")] = True
     for batch in batches:
@@ -101,10 +101,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[str, list] = {k.split()[0]: [] for k in SCHEMA.split(", ")}
         rows["doc_id"] = batch.column(0)
         for _, data, offsets in text_blocks(texts):
-            words = Words(data, offsets, powers)
+            words = Words(data, offsets)
             chars = np.concatenate([[0], np.cumsum(words.inside & ((data & 0xC0) != 0x80))])[offsets]
             symbols = np.concatenate([[0], np.cumsum(symbol[data])])[offsets]
-            tri, _ = windows(words, 3)
+            tri = windows(words, 3)
             raw = data.tobytes()
             for k, n in enumerate(words.counts.tolist()):
                 text, at = raw[offsets[k] : offsets[k + 1]], words.bounds[k]
