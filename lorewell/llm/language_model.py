@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fits, likely_in, small_batches
+from .common import checkpointed, fits, likely_in, small_batches, without
 
 ORDER = 5
 #: Symbols before and after a text.
@@ -268,3 +268,9 @@ def quality_model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
         own = F.broadcast(own)
     judged = scores.join(own, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("limit", F.lit(overall["limit"] if overall else None).cast("double")))
     return judged.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "n_symbols", "log_perplexity", "limit", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)).alias("kept"))
+
+
+def keep_fluent(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that the model keeps; rows with a null id stay, and rows repeating an id stay or go together."""
+    gone = checkpointed(quality_model(docs, trusted, id_col, text_col, lang_col).filter("not kept and doc_id is not null").select("doc_id"))
+    return without(docs, id_col, gone)

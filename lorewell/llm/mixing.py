@@ -13,8 +13,8 @@ Every document is kept, once. Its place is (slot, place in the block).
 Edge cases. A null source is a source of its own, named null, with the default
 parts. Sources beyond the named ones get the default parts. If there are more
 than ``SOURCES`` of them, sources share that many classes by hash, each class
-mixed as one source. Ties in the order within a source fall by a hash of the id, then the
-id, then the text; rows alike in all these are interchangeable. An empty table
+mixed as one source. The order within a source is that of a hash of id and text, then the
+id, then a hash of the text; rows alike in all these are interchangeable. An empty table
 gives an empty result. Input columns are kept; result columns that clash with
 them replace them.
 """
@@ -94,17 +94,17 @@ def _ranked(docs: DataFrame, source_col: str, id_col: str, text_col: str) -> tup
     names = docs.select(F.col(f"`{source_col}`").alias("s")).distinct().limit(SOURCES + 1).count()
     source = F.col(f"`{source_col}`").cast("string")
     named = source if names <= SOURCES else F.concat(F.lit("class "), F.pmod(F.xxhash64(source), F.lit(SOURCES)).cast("string"))
-    with_key = docs.select("*", named.alias("__class"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("__hash"))
+    with_key = docs.select("*", named.alias("__class"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("__hash"), F.xxhash64(F.col(f"`{text_col}`")).alias("__text"))
     buckets = max(1, -(-docs.count() // BUCKET_ROWS))
     dealt = with_key.withColumn("__bucket", F.pmod("__hash", F.lit(buckets)))
     counts = checkpointed(dealt.groupBy("__class", "__bucket").agg(F.count(F.lit(1)).alias("n")))
     before = Window.partitionBy("__class").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("__class").alias("c_class"), F.col("__bucket").alias("c_bucket"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("c_start"))
     # One shuffle by bucket, whose rows are of all sources alike, serves window and join.
-    inside = Window.partitionBy("__bucket", "__class").orderBy("__hash", F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    inside = Window.partitionBy("__bucket", "__class").orderBy("__hash", F.col(f"`{id_col}`"), "__text")
     ranked = dealt.repartition(F.col("__bucket")).withColumn("__in", F.row_number().over(inside) - 1)
     joined = ranked.join(starts, (F.col("__bucket") == F.col("c_bucket")) & F.col("__class").eqNullSafe(F.col("c_class")))
-    return joined.withColumn("__rank", F.col("c_start") + F.col("__in")).drop("c_class", "c_bucket", "c_start", "__in", "__bucket", "__hash"), counts.groupBy("__class").agg(F.sum("n").alias("n"))
+    return joined.withColumn("__rank", F.col("c_start") + F.col("__in")).drop("c_class", "c_bucket", "c_start", "__in", "__bucket", "__hash", "__text"), counts.groupBy("__class").agg(F.sum("n").alias("n"))
 
 
 def mix(docs: DataFrame, parts: dict[str, int], default: int = 1, block: int = BLOCK, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,7 +137,9 @@ def mix(docs: DataFrame, parts: dict[str, int], default: int = 1, block: int = B
 
 
 def mixed_order(docs: DataFrame, parts: dict[str, int], default: int = 1, **names: str) -> DataFrame:
-    """The documents with their own columns, partitioned and sorted by their place in the mix."""
+    """The documents with their own columns, in partitions and rows by their place in the mix."""
     columns = docs.columns
-    placed = mix(docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), *(F.col(f"`{names.get(k, v)}`").alias(v) for k, v in (("source_col", "source"), ("id_col", "doc_id"), ("text_col", "text")))), parts, default)
-    return placed.orderBy("slot", "place").select("row.*")
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
+    keys = [F.col(f"`{names.get(k, v)}`").alias(v) for k, v in (("source_col", "source"), ("id_col", "doc_id"))]
+    text = F.xxhash64(F.col(f"`{names.get('text_col', 'text')}`")).alias("text")
+    return mix(docs.select(row, *keys, text), parts, default).orderBy("slot", "place").select("row.*")

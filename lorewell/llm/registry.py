@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_model, mixing, near_dedup, packing, quality_rules, top_k, toxicity, url_filters
+from . import chat_format, html_extract, language_model, mixing, near_dedup, packing, quality_rules, top_k, toxicity, url_filters
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), SOURCE_PARTS).select("doc_id", "source", "block", "slot", "place")
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
+    "op5_html_extraction": op5_html_extraction,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
