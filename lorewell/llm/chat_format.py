@@ -93,7 +93,7 @@ ROLES = {"human": "user", "prompter": "user", "customer": "user", "gpt": "assist
 def canonical_role(role: Column) -> Column:
     low = F.lower(role)
     names = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
-    return F.coalesce(F.element_at(names, low), role, F.lit(""))
+    return F.coalesce(F.element_at(names, low), low, F.lit(""))
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -112,6 +112,10 @@ def _pair_turns(get, m: dict) -> Column:
     return turns
 
 
+def _list_turns(rows: Column, m: dict) -> Column:
+    return F.transform(rows, lambda r: _turn(canonical_role(r[m["role"]]), r[m["text"]]))
+
+
 def row_fingerprint(record: Column) -> Column:
     """The fingerprint of one JSON record, as ``fingerprint`` gives it for its paths (two levels)."""
     parsed = F.try_parse_json(record)
@@ -136,8 +140,7 @@ def json_turns(records: DataFrame, json_col: str = "record") -> DataFrame:
         if m["kind"] == "pair":
             made = _pair_turns(get, m)
         elif m["kind"] == "list":
-            rows = F.try_variant_get(parsed, f"$.{m['field']}", "array<map<string,string>>")
-            made = F.transform(rows, lambda r, m=m: _turn(canonical_role(r[m["role"]]), r[m["text"]]))
+            made = _list_turns(F.try_variant_get(parsed, f"$.{m['field']}", "array<map<string,string>>"), m)
         else:
             continue
         turns = F.when(F.col("layout") == key, made).otherwise(turns)
@@ -166,7 +169,7 @@ def table_turns(table: DataFrame) -> DataFrame:
     key = F.col("conv_id") if "conv_id" in table.columns else F.xxhash64(*table.columns)
     if m["kind"] == "pair":
         return table.select(key.alias("conv_id"), _pair_turns(lambda n: F.col(n).cast("string"), m).alias("turns"))
-    return table.select(key.alias("conv_id"), F.transform(m["field"], lambda r: _turn(canonical_role(r[m["role"]]), r[m["text"]])).alias("turns"))
+    return table.select(key.alias("conv_id"), _list_turns(F.col(m["field"]), m).alias("turns"))
 
 
 # ------------------------------------------------------------------- template

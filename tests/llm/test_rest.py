@@ -295,13 +295,15 @@ def test_kneser_ney(spark):
     rng = random.Random(8)
     texts = ["".join(rng.choice("abcab ") for _ in range(rng.randint(0, 60))) for _ in range(20)] + [None]
     tables = language_model.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    asked = ["abcab", "zzzzz", "\x02\x02\x02\x02a", "ab ab", "cab z", "bbbbb", "\x02\x02\x02\x02\x03", "ca\U0001f600bc"]
-    got = {r["gram"]: r["p"] for r in language_model.probabilities(tables, spark.createDataFrame([(g,) for g in asked], "gram string")).collect()}
-    want = kneser_ney([t or "" for t in texts], language_model.ORDER, asked)
-    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-12 for g in got)
+    asked = ["abca", "zzzz", "\x02\x02\x02a", "b ab", "ab z", "bbbb", "\x02\x02\x02\x03", "c\U0001f600a", "\uffff\uffff\uffff\uffff"]
+    wanted = spark.createDataFrame([(language_model.packed(g),) for g in asked], "gram long")
+    got = {r["gram"]: r["p"] for r in language_model.probabilities(tables, wanted).collect()}
+    units = lambda g: "".join(map(chr, np.frombuffer(g.encode("utf-16-le"), "<u2").tolist()))
+    want = kneser_ney([t or "" for t in texts], language_model.ORDER, [units(g) for g in asked])
+    assert len(got) == len(want) and all(abs(got[language_model.packed(g)] - want[units(g)]) < 1e-12 for g in asked)
     # Over all symbols the probabilities of a context sum to one, but for the unseen one.
     symbols = sorted({c for t in texts for c in t or ""} | {language_model.END, "\x02", "#"})
-    assert abs(sum(kneser_ney([t or "" for t in texts], language_model.ORDER, ["abca" + c for c in symbols]).values()) - 1) < 0.2
+    assert abs(sum(kneser_ney([t or "" for t in texts], language_model.ORDER, ["abc" + c for c in symbols]).values()) - 1) < 0.2
 
 
 def test_quality_model(spark, tmp_path):

@@ -47,12 +47,13 @@ def test_quality_counts(spark):
 
 def test_compression_bands(spark):
     rng = random.Random(4)
-    vocabulary = [made(rng, 1) for _ in range(400)]
-    clean = " ".join(rng.choice(vocabulary[: rng.choice((40, 400))]) for _ in range(900))
-    noise = " ".join("".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(6)) for _ in range(700))
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    clean = " ".join(rng.choice(vocabulary[: rng.choice((60, 2000))]) for _ in range(900))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-"
+    noise = " ".join("".join(rng.choice(letters) for _ in range(40)) for _ in range(150))
     loop = " ".join(f"{k} {made(rng, 1)} the very same row of a long table" for k in range(700))
     got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs(spark, [clean, noise, loop])).collect()}
-    assert got == {0: True, 1: True, 2: False} or got == {0: True, 1: False, 2: False}
+    assert got == {0: True, 1: False, 2: False}
     kept = quality_rules.keep_rules(docs(spark, [clean, noise, loop, None]))
     assert kept.columns == ["doc_id", "text", "mark", "kept"] and 0 in {r[0] for r in kept.collect()}
 
