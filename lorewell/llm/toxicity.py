@@ -35,7 +35,7 @@ from .common import checkpointed, small_batches
 #: Bounds of the fit: labelled rows of either kind, and lexicon entries.
 SAMPLE_TOXIC, SAMPLE_CLEAN, ENTRIES = 4_000, 8_000, 4_000
 #: An entry is mined if its documents are toxic so often that chance explains it with at most this probability.
-CHANCE, LEAST_DOCS = 1e-3, 4
+CHANCE, LEAST_DOCS = 1e-4, 4
 PREFIXES = (4, 5, 6)
 
 #: Fixed word lists by language.
