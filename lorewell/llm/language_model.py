@@ -1,8 +1,8 @@
-"""Quality classifier: interpolated modified Kneser-Ney over character n-grams.
+"""Quality classifier: interpolated modified Kneser-Ney over n-grams of characters.
 
 Counts come from trusted texts, three quarters of them by a hash of their id. The other
 quarter calibrates: a document is kept if its perplexity is at most a high
-quantile of theirs in the same language.
+quantile of theirs in the same language, and a margin.
 
 Counts, continuation counts and contexts are tables, sharded by n-gram. Every
 group of documents (an input file, or part of one) asks for the distinct n-grams it has;
@@ -30,100 +30,88 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, fits, likely_in, small_batches, without
 
-ORDER = 5
+#: An n-gram is one long: the 16-bit units of its UTF-16 form, the first in the lowest bits.
+ORDER, BITS = 4, 16
 #: Symbols before and after a text.
 BEGIN, END = "\x02", "\x03"
-#: Characters taken on at once.
-BLOCK_CHARS = 1 << 19
+#: Units taken on at once, and n-grams gathered before they are merged.
+BLOCK_UNITS, MERGE = 1 << 18, 1 << 19
 #: A file with more bytes of text than this is several groups.
-GROUP_BYTES = 128 << 20
+GROUP_BYTES = 32 << 20
 #: One trusted document in so many calibrates; their quantile is the limit, in steps of 1 / STEPS of a nat.
 HELD = 4
 QUANTILE = 0.995
 STEPS = 1000
+#: Nats above the quantile: few calibrating documents don't show how far good ones reach.
+MARGIN = 0.1
 #: Languages up to this number have their limits broadcast.
 LANGUAGES = 10_000
 
-_P = np.uint64(0x9E3779B97F4A7C15)
-
 
 # ------------------------------------------------------------- texts to n-grams
 
 
-def _points(s: str) -> np.ndarray:
-    return np.frombuffer(s.encode("utf-32-le", "replace"), dtype="<u4")
-
+def packed(gram: str) -> int:
+    """The long of an n-gram of up to ORDER units."""
+    return int.from_bytes(int.from_bytes(gram.encode("utf-16-le", "surrogatepass"), "little").to_bytes(8, "little"), "little", signed=True)
 
-def _keys(rows: np.ndarray) -> np.ndarray:
-    """Hashes of n-grams given by columns of code points, for use within a task only."""
-    k = np.zeros(len(rows[0]), dtype=np.uint64)
-    for col in rows:
-        k = (k + col) * _P
-        k ^= k >> np.uint64(31)
-    return k
 
-
-def grams(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By block of texts: (first row, n-gram number of each position, where each text's begin, keys and code points of the distinct n-grams)."""
+def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By block of texts: the distinct n-grams, the number of each position's among them, and where each text's positions begin."""
     at = 0
     while at < len(texts):
         end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= BLOCK_CHARS):
+        while end < len(texts) and (end == at or size + len(texts[end] or "") <= BLOCK_UNITS):
             size += len(texts[end] or "")
             end += 1
         parts = [BEGIN * (ORDER - 1) + (t or "") + END for t in texts[at:end]]
         lengths = np.array([len(p) for p in parts])
-        points = _points("".join(parts)).astype(np.uint64)
-        inside = np.ones(len(points), dtype=bool)
+        raw = "".join(parts).encode("utf-16-le", "surrogatepass")
+        if len(raw) != 2 * lengths.sum():  # pairs of units
+            lengths = np.array([len(p.encode("utf-16-le", "surrogatepass")) // 2 for p in parts])
+        n = len(raw) // 2
+        inside = np.ones(n, dtype=bool)
         stops = np.cumsum(lengths)
         for k in range(1, ORDER):
             inside[stops - k] = False  # windows that reach into the next text
-        starts = np.flatnonzero(inside)
-        keys = _keys(np.stack([points[k : len(points) - ORDER + 1 + k] for k in range(ORDER)]))[starts]
+        keys = np.ndarray((n - ORDER + 1,), dtype="<i8", buffer=raw, strides=(2,))[inside[: n - ORDER + 1]]
         number, distinct = pd.factorize(keys)
-        first = np.empty(len(distinct), dtype=np.int64)
-        first[number[::-1]] = starts[::-1]
-        yield at, number, np.concatenate([[0], np.cumsum(lengths - ORDER + 1)[:-1]]), distinct, np.stack([points[first + k] for k in range(ORDER)], 1).astype("<u4")
+        yield distinct, number, np.concatenate([[0], np.cumsum(lengths - ORDER + 1)[:-1]])
         at = end
 
 
-def _strings(points: np.ndarray) -> pa.Array:
-    """Rows of code points as strings."""
-    text = points.tobytes().decode("utf-32-le", "replace")
-    return pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string())
-
-
 class _Tally:
-    """Counts of n-grams over blocks, merged as they come."""
+    """Counts of n-grams over blocks, merged now and then."""
 
     def __init__(self) -> None:
-        self.keys, self.points, self.n = np.zeros(0, np.uint64), np.zeros((0, ORDER), "<u4"), np.zeros(0, np.int64)
+        self.keys: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.n.append(n)
+        self.size += len(keys)
+        if self.size > MERGE and len(self.keys) > 1:
+            self.merge()
+            self.size = len(self.keys[0]) // 2  # a large tally waits longer for its next merge
 
-    def add(self, keys: np.ndarray, points: np.ndarray, n: np.ndarray) -> None:
-        number, distinct = pd.factorize(np.concatenate([self.keys, keys]))
-        known = len(self.keys)
-        self.n = np.bincount(number, np.concatenate([self.n, n]), len(distinct)).astype(np.int64)
-        fresh = np.flatnonzero(np.bincount(number[:known], minlength=len(distinct)) == 0)
-        where = np.empty(len(distinct), dtype=np.int64)
-        where[number[known:][::-1]] = np.arange(len(keys))[::-1]
-        self.points = np.concatenate([self.points, points[where[fresh]]])
-        self.keys = distinct
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        number, distinct = pd.factorize(np.concatenate([np.zeros(0, np.int64), *self.keys]))
+        self.keys, self.n = [distinct], [np.bincount(number, np.concatenate([np.zeros(0), *self.n]), len(distinct)).astype(np.int64)]
+        return self.keys[0], self.n[0]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts -> (gram, n), summed over the task unless there are very many."""
     tally = _Tally()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([_strings(tally.points), pa.array(tally.n)], ["gram", "n"])
-
     for batch in batches:
-        for _, number, _, keys, points in grams(batch.column(0).to_pylist()):
-            tally.add(keys, points, np.bincount(number, minlength=len(keys)))
-            if len(tally.keys) > 1_000_000:
-                yield out()
+        for keys, number, _ in grams(batch.column(0).to_pylist()):
+            tally.add(keys, np.bincount(number, minlength=len(keys)))
+            if len(tally.keys[0]) > 2_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in tally.merge()], ["gram", "n"])
                 tally = _Tally()
-    yield out()
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in tally.merge()], ["gram", "n"])
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,26 +119,26 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tallies: dict[int, _Tally] = {}
 
     def out(part: int) -> pa.RecordBatch:
-        t = tallies.pop(part)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(t.keys), part), pa.int64()), _strings(t.points)], ["part", "gram"])
+        keys, _ = tallies.pop(part).merge()
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part), pa.int64()), pa.array(keys)], ["part", "gram"])
 
     for batch in batches:
         parts = batch.column(0).to_numpy(zero_copy_only=False)
         texts = batch.column(1).to_pylist()
         for part in np.unique(parts).tolist():
             tally = tallies.setdefault(part, _Tally())
-            for _, _, _, keys, points in grams([texts[k] for k in np.flatnonzero(parts == part)]):
-                tally.add(keys, points, np.zeros(len(keys), np.int64))
-            if sum(len(t.keys) for t in tallies.values()) > 1_000_000:
-                for p in list(tallies):
-                    yield out(p)
+            for keys, _, _ in grams([texts[k] for k in np.flatnonzero(parts == part)]):
+                tally.add(keys, np.zeros(len(keys)))
+        if sum(t.size for t in tallies.values()) > 4 * MERGE:
+            for p in list(tallies):
+                yield out(p)
     for p in list(tallies):
         yield out(p)
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, gram, logp, doc_id, lang, text), each part's grams first -> (doc_id, lang, n_symbols, log_perplexity)."""
-    part, keys, logps, fresh = None, np.zeros(0, np.uint64), np.zeros(0), []
+    part, keys, logps, fresh = None, np.zeros(0, np.int64), np.zeros(0), []
 
     for batch in batches:
         parts = batch.column(0).to_numpy(zero_copy_only=False)
@@ -160,20 +148,19 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a == b:
                 continue
             if parts[a] != part:
-                part, keys, logps, fresh = parts[a], np.zeros(0, np.uint64), np.zeros(0), []
+                part, keys, logps, fresh = parts[a], np.zeros(0, np.int64), np.zeros(0), []
             rows = batch.slice(a, b - a)
             if is_gram[a]:
-                points = _points("".join(rows.column(1).to_pylist())).reshape(-1, ORDER)
-                fresh.append((_keys(points.T.astype(np.uint64)), rows.column(2).to_numpy(zero_copy_only=False)))
+                fresh.append((rows.column(1).to_numpy(zero_copy_only=False).astype(np.int64), rows.column(2).to_numpy(zero_copy_only=False)))
                 continue
             if fresh:
                 keys, logps = np.concatenate([keys, *(f[0] for f in fresh)]), np.concatenate([logps, *(f[1] for f in fresh)])
                 order = np.argsort(keys)
                 keys, logps, fresh = keys[order], logps[order], []
             sums, sizes = [], []
-            for _, number, starts, distinct, _ in grams(rows.column(5).to_pylist()):
+            for distinct, number, starts in grams(rows.column(5).to_pylist()):
                 at = np.searchsorted(keys, distinct)
-                if len(distinct) and (len(keys) == 0 or (keys[np.minimum(at, len(keys) - 1)] != distinct).any()):
+                if len(keys) == 0 or (keys[np.minimum(at, len(keys) - 1)] != distinct).any():
                     raise RuntimeError("a text has n-grams that its group has not asked for")
                 sums.append(np.add.reduceat(logps[at][number], starts))
                 sizes.append(np.diff(np.append(starts, len(number))))
@@ -194,10 +181,10 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 def train(texts: DataFrame) -> list[DataFrame]:
     """Tables of the orders 1 to ORDER: gram, n. Only the highest has counts; lower ones have distinct left neighbours."""
-    top = checkpointed(texts.select("text").mapInArrow(_count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    top = checkpointed(texts.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
     tables = [top]
     for k in range(ORDER - 1, 0, -1):
-        tables.insert(0, checkpointed(tables[0].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
+        tables.insert(0, checkpointed(tables[0].groupBy(F.shiftrightunsigned("gram", BITS).alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
     return tables
 
 
@@ -210,17 +197,18 @@ def probabilities(tables: list[DataFrame], wanted: DataFrame) -> DataFrame:
         row = t.agg(*ones, F.count(F.lit(1)).alias("v")).first()
         d = discounts(row["n1"], row["n2"], row["n3"], row["n4"])
         cut = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-        context = t.groupBy(F.substring("gram", 1, k - 1).alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("cut"))
-        need = wanted if k == len(tables) else wanted.select(F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct()
+        before = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
+        context = t.groupBy(before.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("cut"))
+        need = wanted if k == len(tables) else wanted.select(F.shiftrightunsigned("gram", BITS * (ORDER - k)).alias("gram")).distinct()
         own = F.coalesce((n - cut) / F.col("total"), F.lit(0.0))
         rest = F.coalesce(F.col("cut") / F.col("total"), F.lit(1.0))
-        rows = need.join(t, "gram", "left").withColumn("context", F.substring("gram", 1, k - 1)).join(context, "context", "left")
+        rows = need.join(t, "gram", "left").withColumn("context", before).join(context, "context", "left")
         if known is None:
             # Below single symbols lies the uniform distribution over those seen and one more.
             known = rows.select("gram", (own + rest / (row["v"] + 1)).alias("p"))
         else:
             shorter = known.select(F.col("gram").alias("end"), F.col("p").alias("q"))
-            known = rows.withColumn("end", F.substring("gram", 2, k - 1)).join(shorter, "end").select("gram", (own + rest * F.col("q")).alias("p"))
+            known = rows.withColumn("end", F.shiftrightunsigned("gram", BITS)).join(shorter, "end").select("gram", (own + rest * F.col("q")).alias("p"))
         known = checkpointed(known)
     return known
 
@@ -234,21 +222,21 @@ def perplexities(docs: DataFrame, tables: list[DataFrame], id_col: str, text_col
     # Rows that come from no file are dealt by hash alone.
     part = F.xxhash64(file, F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(pieces)))
     rows = docs.select(part.alias("part"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, gram string").distinct())
+    asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, gram long").distinct())
     p = probabilities(tables, asked.select("gram").distinct())
     answers = asked.join(p, "gram").select("part", "gram", F.log("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"))
-    stream = answers.unionByName(rows.select("part", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
+    stream = answers.unionByName(rows.select("part", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
     return stream.repartition("part").sortWithinPartitions("part", F.col("gram").isNull()).mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double")
 
 
 def limits(scores: DataFrame, quantile: float) -> DataFrame:
-    """Per language (null: all together) the quantile of log perplexities, rounded up to a step: lang, limit."""
+    """Per language (null: all together) the quantile of log perplexities, rounded up to a step, and the margin: lang, limit."""
     bins = scores.groupBy("lang", F.ceil(F.col("log_perplexity") * STEPS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     both = bins.unionByName(bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(None).cast("string")))
     upto = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     every = Window.partitionBy("lang")
     ranked = both.withColumn("upto", F.sum("n").over(upto)).withColumn("every", F.sum("n").over(every))
-    return ranked.filter(F.col("upto") >= quantile * F.col("every")).groupBy("lang").agg((F.min("bin") / STEPS).alias("limit"))
+    return ranked.filter(F.col("upto") >= quantile * F.col("every")).groupBy("lang").agg((F.min("bin") / STEPS + MARGIN).alias("limit"))
 
 
 def quality_model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE) -> DataFrame:
