@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,7 +76,7 @@ def _tokenise(vocabulary: str, size: int):
             encode = encode or encoder(vocabulary)
             cols: list[list] = [[] for _ in range(5)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                coded = np.array([*encode(text or ""), 0], dtype="<u4").tobytes()
+                coded = array("I", encode(text or "")).tobytes() + b"\0\0\0\0"
                 for k, (start, length) in enumerate(cut(len(coded) // 4, size)):
                     crc = zlib.crc32(coded[4 * start : 4 * (start + length)])
                     for col, v in zip(cols, (doc_id, k, start, length, crc), strict=True):
