@@ -5,7 +5,7 @@ node from then on. Minhashes form two collections of ``COLLECTION`` sub-keys,
 each of ``WIDTH`` minhashes; a table is a pair of a sub-key of one collection
 and a sub-key of the other, so ``COLLECTION ** 2`` tables with keys of
 ``2 * WIDTH`` minhashes cost ``2 * COLLECTION * WIDTH`` minhashes. At a similarity of
-0.75 a pair meets in no table with a probability below 4e-6.
+0.75 a pair meets in no table with a probability below 2e-5.
 
 Sub-keys that only one node has can't meet; they go before pairs of sub-keys are
 formed. In each bucket, every node is compared with the smallest one, on full
@@ -29,25 +29,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Words, checkpointed, mix, small_batches, text_blocks, windows
+from .common import Words, checkpointed, likely_in, mix, small_batches, text_blocks, windows, without
 
-WIDTH, COLLECTION, SHINGLE = 2, 16, 5
+WIDTH, COLLECTION, SHINGLE = 2, 14, 5
 HASHES = 2 * WIDTH * COLLECTION
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: A pair of which fewer minhashes are equal isn't compared; at a similarity of 0.75 that has a probability of 2e-7.
-LEAST_EQUAL = 30
+#: A pair of which fewer minhashes are equal isn't compared; at a similarity of 0.75 that has a probability of 4e-7.
+LEAST_EQUAL = 25
 #: Comparisons with one node in a task.
 GROUP = 256
 
 SKETCH = "doc_id long, n_shingles long, mark binary, subs array<long>, mins binary"
 
 
-def shingle_sets(texts: pa.Array, powers: Powers) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted hashes of each text's distinct shingles."""
     for _, data, offsets in text_blocks(texts):
-        words = Words(data, offsets, powers, lower=True)
-        runs, _ = windows(words, SHINGLE)
+        words = Words(data, offsets, lower=True)
+        runs = windows(words, SHINGLE)
         for n, at in zip(words.counts.tolist(), words.bounds.tolist(), strict=False):
             if n >= SHINGLE:
                 yield np.unique(runs[at : at + n - SHINGLE + 1])
@@ -61,19 +61,19 @@ def shingle_sets(texts: pa.Array, powers: Powers) -> Iterator[np.ndarray]:
 
 
 def coefficients() -> tuple[np.ndarray, np.ndarray]:
-    """Odd multipliers and addends of the minhashes."""
-    seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
-    return seeds[:HASHES] | np.uint64(1), seeds[HASHES:]
+    """Odd multipliers and addends of the minhashes: columns."""
+    seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)).astype(np.uint32)[:, None]
+    return seeds[:HASHES] | np.uint32(1), seeds[HASHES:]
 
 
 def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    """Minhashes of non-empty sets: a row each."""
+    """Minhashes of non-empty sets, 32 bits each: a row for each set."""
     a, b = coefficients()
-    every = np.concatenate(sets)
-    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), HASHES), dtype=np.uint64)
-    for k in range(HASHES):
-        out[:, k] = np.minimum.reduceat((every * a[k] + b[k]) >> np.uint64(24), starts)
+    out = np.full((len(sets), HASHES), 0xFFFFFFFF, dtype=np.uint32)
+    for k, s in enumerate(sets):
+        low = (s >> np.uint64(32)).astype(np.uint32)
+        for at in range(0, len(low), 2048):
+            np.minimum(out[k], (low[at : at + 2048] * a + b).min(1), out=out[k])
     return out
 
 
@@ -81,19 +81,18 @@ def sub_keys(mins: np.ndarray) -> np.ndarray:
     """The sub-keys of both collections: a row of 2 * COLLECTION for each row of minhashes."""
     keys = np.tile(np.arange(2 * COLLECTION, dtype=np.uint64), (len(mins), 1))
     for k in range(WIDTH):
-        keys = mix(keys ^ mins[:, k::WIDTH])
+        keys = mix(keys ^ mins[:, k::WIDTH].astype(np.uint64))
     return keys
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers = Powers()
     for batch in batches:
-        sets = list(shingle_sets(batch.column(1), powers))
+        sets = list(shingle_sets(batch.column(1)))
         full = [k for k, s in enumerate(sets) if len(s)]
         marks, subs, mins = [None] * len(sets), [None] * len(sets), [None] * len(sets)
         if full:
             m = minhashes([sets[k] for k in full])
-            keys, low = sub_keys(m).astype(np.int64), (m & np.uint64(0xFFFF)).astype("<u2")
+            keys, low = sub_keys(m).astype(np.int64), (m >> np.uint32(16)).astype("<u2")
             for j, k in enumerate(full):
                 s = sets[k]
                 marks[k] = np.array([s.sum(), mix(s + np.uint64(7)).sum()], dtype=np.uint64).tobytes()
@@ -117,19 +116,27 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
         return False
-    both = len(a) + len(b) - len(np.union1d(a, b))
+    every = np.concatenate([a, b])
+    every.sort(kind="stable")  # merges two sorted runs
+    both = int((every[1:] == every[:-1]).sum())
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary())], ["node", "shingles"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (y, part, x, text), sorted by y and part, the null x first: its text is y's."""
-    powers, now, own = Powers(), None, []
+    """Rows (y, part, x, shingles), sorted by y and part, the null x first: its set is y's."""
+    now, own = None, []
     for batch in batches:
         ys, parts, xs = (batch.column(k).to_pylist() for k in range(3))
         found: list[tuple[int, int]] = []
-        for y, part, x, s in zip(ys, parts, xs, shingle_sets(batch.column(3), powers), strict=True):
+        for y, part, x, raw in zip(ys, parts, xs, batch.column(3).to_pylist(), strict=True):
+            s = np.frombuffer(raw, dtype=np.uint64)
             if (y, part) != now:
                 now, own = (y, part), []
             if x is None:
@@ -139,12 +146,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["x", "y"])
 
 
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (x, y) that are linked; texts: node, text. A node with many partners is split over tasks."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) that are linked; sets: node, shingles. A node with many partners is split over tasks."""
     degree = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     placed = pairs.join(degree, "y").select("x", "y", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"))
     asked = placed.select("y", "part", "x", F.col("x").alias("node")).unionByName(placed.select("y", "part").distinct().select("y", "part", F.lit(None).cast("long").alias("x"), F.col("y").alias("node")))
-    rows = asked.join(texts, "node").select("y", "part", "x", "text")
+    rows = asked.join(sets, "node").select("y", "part", "x", "shingles")
     return rows.repartition("y", "part").sortWithinPartitions("y", "part", F.col("x").asc_nulls_first()).mapInArrow(_compare, "x long, y long")
 
 
@@ -176,31 +183,42 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     side = lambda c: F.collect_list(F.when(c, F.col("sub")))
     sides = subs.join(shared, "sub", "left_semi").groupBy("node").agg(side(F.col("at") < COLLECTION).alias("a"), side(F.col("at") >= COLLECTION).alias("b"))
     keys = sides.select("node", F.explode("a").alias("a"), "b").select("node", "a", F.explode("b").alias("b")).select("node", F.xxhash64("a", "b").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("key", "hub")
-    buckets = checkpointed(keys.join(hubs, "key").select("key", "node", "hub"))
-
-    facts = nodes.select("node", "n_shingles", "mins")
+    # Copies of a group meet in many tables: of buckets with the same nodes one is enough.
+    mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
+    every = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"), F.max("node").alias("last"), mark(1).alias("m1"), mark(2).alias("m2")).filter("n > 1")
+    hubs = checkpointed(every.groupBy("n", "hub", "last", "m1", "m2").agg(F.min("key").alias("key")).filter("hub <> last"))
+    buckets = checkpointed(keys.join(hubs.filter("n > 2").select("key", "hub"), "key").select("key", "node", "hub"))
+    stars = hubs.filter("n = 2").select(F.col("last").alias("x"), F.col("hub").alias("y")).unionByName(buckets.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))).distinct()
+    stars = checkpointed(stars)
+    inside = checkpointed(stars.select("x").union(stars.select("y")).distinct().toDF("node"))
+    facts = checkpointed(nodes.select("node", "n_shingles", "mins").join(inside, "node", "left_semi"))
 
     def likely(pairs: DataFrame) -> DataFrame:
         with_x = pairs.join(facts.select(F.col("node").alias("x"), F.col("n_shingles").alias("n_x"), F.col("mins").alias("m_x")), "x")
         with_y = with_x.join(facts.select(F.col("node").alias("y"), F.col("n_shingles").alias("n_y"), F.col("mins").alias("m_y")), "y")
         return checkpointed(with_y.select("x", "y", "n_x", "n_y", "m_x", "m_y").mapInArrow(_likely, "x long, y long"))
 
-    inside = buckets.select("node").distinct()
-    texts = checkpointed(rows.select(F.col("doc_id").alias("node"), "text").join(inside, "node", "left_semi"))
-    first = likely(buckets.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct())
-    edges = checkpointed(_compared(first, texts))
+    sets = checkpointed(likely_in(rows, "doc_id", inside).select(F.col("doc_id").alias("node"), "text").join(inside, "node", "left_semi").mapInArrow(_full_sets, "node long, shingles binary"))
+    first = likely(stars)
+    edges = checkpointed(_compared(first, sets))
     labels = components(edges)
 
+    # What is left open: buckets with several components, their nodes beyond the largest one.
     known = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max(F.struct("n", "label")).alias("most")).filter("m > 1").select("key", F.col("most.label").alias("main"))
+    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max_by("label", "n").alias("main")).filter("m > 1").select("key", "main")
     open_ = checkpointed(known.join(sizes, "key"))
     minor = open_.filter("label <> main").select("key", F.col("node").alias("u"), F.col("label").alias("label_u"))
     rest = minor.join(open_, "key").filter("label <> label_u").select(F.greatest("u", "node").alias("x"), F.least("u", "node").alias("y")).distinct()
-    second = likely(rest.join(first, ["x", "y"], "left_anti"))
-    more = checkpointed(_compared(second, texts))
+    second = likely(rest.join(stars, ["x", "y"], "left_anti"))
+    more = checkpointed(_compared(second, sets))
     if more.limit(1).count():
-        labels = components(edges.unionByName(more))
+        # Components of components: a small graph.
+        to = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
+        ends = more.join(to("x"), "x", "left").join(to("y"), "y", "left").select(F.coalesce("l_x", "x").alias("x"), F.coalesce("l_y", "y").alias("y"))
+        joined = components(ends)
+        again = joined.select(F.col("node").alias("was"), F.col("label").alias("now"))
+        moved = labels.join(again, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
+        labels = checkpointed(moved.unionByName(joined.join(labels, "node", "left_anti")))
 
     names = nodes.select("mark", "n_shingles", "node").join(labels, "node", "left").select("mark", "n_shingles", F.coalesce("label", "node").alias("label"))
     placed = full.select("doc_id", "n_shingles", "mark").join(names, ["mark", "n_shingles"]).select("doc_id", "n_shingles", F.col("label").alias("component_id"))
@@ -209,10 +227,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that a smaller id of their group stands for, and without repeated rows."""
-    gone = near_dedup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
-    return left
+    """The documents without those that a smaller id of their group stands for; of rows repeating an id one stays."""
+    gone = checkpointed(near_dedup(docs, id_col, text_col).filter("not kept").select("doc_id"))
+    left = without(docs, id_col, gone)
+    twice = checkpointed(docs.filter(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    if twice.limit(1).count() == 0:
+        return left
+    return without(left, id_col, twice).unionByName(likely_in(left, id_col, twice).join(twice.withColumnRenamed("doc_id", "__twice"), F.col(f"`{id_col}`").cast("long") == F.col("__twice"), "left_semi").dropDuplicates([id_col]))
 
 
 def near_dedup_sql() -> str:
