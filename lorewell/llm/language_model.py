@@ -21,6 +21,7 @@ an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,11 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, fits, likely_in, small_batches, without
 
-#: An n-gram is one long: the 16-bit units of its UTF-16 form, the first in the lowest bits.
-ORDER, BITS = 4, 16
+#: An n-gram of up to four 16-bit units of UTF-16 is one long, the first in the lowest bits. The first unit
+#: of five is a column of its own, ``head``, and the long has the other four.
+ORDER, BITS = 5, 16
+#: Units of a long.
+LONG = ORDER - 1
 #: Symbols before and after a text.
 BEGIN, END = "\x02", "\x03"
 #: Units taken on at once, and n-grams gathered before they are merged.
@@ -52,12 +56,27 @@ LANGUAGES = 10_000
 
 
 def packed(gram: str) -> int:
-    """The long of an n-gram of up to ORDER units."""
+    """The long of an n-gram of up to LONG units."""
     return int.from_bytes(int.from_bytes(gram.encode("utf-16-le", "surrogatepass"), "little").to_bytes(8, "little"), "little", signed=True)
 
 
-def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By block of texts: the distinct n-grams, the number of each position's among them, and where each text's positions begin."""
+def _keys(heads: np.ndarray, longs: np.ndarray, attempt: int) -> np.ndarray:
+    """One long for each n-gram, different ones almost always; callers try again where they aren't."""
+    return longs ^ (heads.astype(np.int64) * np.int64(-7046029254386353131 + 2 * attempt))
+
+
+def _distinct(heads: np.ndarray, longs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads and longs of the distinct n-grams, and the number of each given one's among them."""
+    for attempt in count():
+        number, keys = pd.factorize(_keys(heads, longs, attempt))
+        one = np.empty(len(keys), np.int64)
+        one[number] = np.arange(len(number))
+        if (longs[one][number] == longs).all() and (heads[one][number] == heads).all():
+            return heads[one], longs[one], number
+
+
+def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By block of texts: heads and longs of the distinct n-grams, the number of each position's among them, and where each text's positions begin."""
     at = 0
     while at < len(texts):
         end, size = at, 0
@@ -74,9 +93,10 @@ def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         stops = np.cumsum(lengths)
         for k in range(1, ORDER):
             inside[stops - k] = False  # windows that reach into the next text
-        keys = np.ndarray((n - ORDER + 1,), dtype="<i8", buffer=raw, strides=(2,))[inside[: n - ORDER + 1]]
-        number, distinct = pd.factorize(keys)
-        yield distinct, number, np.concatenate([[0], np.cumsum(lengths - ORDER + 1)[:-1]])
+        inside = inside[: n - ORDER + 1]
+        heads = np.frombuffer(raw, "<u2")[: n - ORDER + 1][inside]
+        longs = np.ndarray((n - ORDER + 1,), dtype="<i8", buffer=raw, offset=2, strides=(2,))[inside]
+        yield *_distinct(heads, longs), np.concatenate([[0], np.cumsum(lengths - ORDER + 1)[:-1]])
         at = end
 
 
@@ -84,51 +104,59 @@ class _Tally:
     """Counts of n-grams over blocks, merged now and then."""
 
     def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
+        self.heads: list[np.ndarray] = []
+        self.longs: list[np.ndarray] = []
         self.n: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
-        self.keys.append(keys)
+    def add(self, heads: np.ndarray, longs: np.ndarray, n: np.ndarray) -> None:
+        self.heads.append(heads)
+        self.longs.append(longs)
         self.n.append(n)
-        self.size += len(keys)
-        if self.size > MERGE and len(self.keys) > 1:
+        self.size += len(longs)
+        if self.size > MERGE and len(self.longs) > 1:
             self.merge()
-            self.size = len(self.keys[0]) // 2  # a large tally waits longer for its next merge
+            self.size = len(self.longs[0]) // 2  # a large tally waits longer for its next merge
 
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        number, distinct = pd.factorize(np.concatenate([np.zeros(0, np.int64), *self.keys]))
-        self.keys, self.n = [distinct], [np.bincount(number, np.concatenate([np.zeros(0), *self.n]), len(distinct)).astype(np.int64)]
-        return self.keys[0], self.n[0]
+    def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        heads, longs, number = _distinct(np.concatenate([np.zeros(0, np.uint16), *self.heads]), np.concatenate([np.zeros(0, np.int64), *self.longs]))
+        self.heads, self.longs = [heads], [longs]
+        self.n = [np.bincount(number, np.concatenate([np.zeros(0), *self.n]), len(longs)).astype(np.int64)]
+        return heads, longs, self.n[0]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts -> (gram, n), summed over the task unless there are very many."""
+    """Texts -> (head, gram, n), summed over the task unless there are very many."""
     tally = _Tally()
+
+    def out() -> pa.RecordBatch:
+        heads, longs, n = tally.merge()
+        return pa.RecordBatch.from_arrays([pa.array(heads.astype(np.int32)), pa.array(longs), pa.array(n)], ["head", "gram", "n"])
+
     for batch in batches:
-        for keys, number, _ in grams(batch.column(0).to_pylist()):
-            tally.add(keys, np.bincount(number, minlength=len(keys)))
-            if len(tally.keys[0]) > 2_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in tally.merge()], ["gram", "n"])
+        for heads, longs, number, _ in grams(batch.column(0).to_pylist()):
+            tally.add(heads, longs, np.bincount(number, minlength=len(longs)))
+            if len(tally.longs[0]) > 2_000_000:
+                yield out()
                 tally = _Tally()
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in tally.merge()], ["gram", "n"])
+    yield out()
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, text) -> the distinct (part, gram)."""
+    """(part, text) -> the distinct (part, head, gram)."""
     tallies: dict[int, _Tally] = {}
 
     def out(part: int) -> pa.RecordBatch:
-        keys, _ = tallies.pop(part).merge()
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part), pa.int64()), pa.array(keys)], ["part", "gram"])
+        heads, longs, _ = tallies.pop(part).merge()
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(longs), part), pa.int64()), pa.array(heads.astype(np.int32)), pa.array(longs)], ["part", "head", "gram"])
 
     for batch in batches:
         parts = batch.column(0).to_numpy(zero_copy_only=False)
         texts = batch.column(1).to_pylist()
         for part in np.unique(parts).tolist():
             tally = tallies.setdefault(part, _Tally())
-            for keys, _, _ in grams([texts[k] for k in np.flatnonzero(parts == part)]):
-                tally.add(keys, np.zeros(len(keys)))
+            for heads, longs, _, _ in grams([texts[k] for k in np.flatnonzero(parts == part)]):
+                tally.add(heads, longs, np.zeros(len(longs)))
         if sum(t.size for t in tallies.values()) > 4 * MERGE:
             for p in list(tallies):
                 yield out(p)
@@ -137,35 +165,43 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, gram, logp, doc_id, lang, text), each part's grams first -> (doc_id, lang, n_symbols, log_perplexity)."""
-    part, keys, logps, fresh = None, np.zeros(0, np.int64), np.zeros(0), []
+    """Rows (part, head, gram, logp, doc_id, lang, text), each part's grams first -> (doc_id, lang, n_symbols, log_perplexity)."""
+    part, attempt, fresh = None, 0, []
+    heads, longs, logps, keys = (none := (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)))
 
     for batch in batches:
         parts = batch.column(0).to_numpy(zero_copy_only=False)
-        is_gram = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+        is_gram = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(is_gram.astype(np.int8)) != 0)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
             if a == b:
                 continue
             if parts[a] != part:
-                part, keys, logps, fresh = parts[a], np.zeros(0, np.int64), np.zeros(0), []
+                part, fresh = parts[a], []
+                heads, longs, logps, keys = none
             rows = batch.slice(a, b - a)
             if is_gram[a]:
-                fresh.append((rows.column(1).to_numpy(zero_copy_only=False).astype(np.int64), rows.column(2).to_numpy(zero_copy_only=False)))
+                fresh.append([rows.column(c).to_numpy(zero_copy_only=False).astype(t) for c, t in ((1, np.int32), (2, np.int64), (3, np.float64))])
                 continue
             if fresh:
-                keys, logps = np.concatenate([keys, *(f[0] for f in fresh)]), np.concatenate([logps, *(f[1] for f in fresh)])
-                order = np.argsort(keys)
-                keys, logps, fresh = keys[order], logps[order], []
+                heads, longs, logps = (np.concatenate([x, *y]) for x, y in zip((heads, longs, logps), zip(*fresh, strict=True), strict=True))
+                fresh = []
+                for attempt in count():
+                    keys = _keys(heads, longs, attempt)
+                    order = np.argsort(keys)
+                    keys = keys[order]
+                    if (keys[1:] != keys[:-1]).all():
+                        break
+                heads, longs, logps = heads[order], longs[order], logps[order]
             sums, sizes = [], []
-            for distinct, number, starts in grams(rows.column(5).to_pylist()):
-                at = np.searchsorted(keys, distinct)
-                if len(keys) == 0 or (keys[np.minimum(at, len(keys) - 1)] != distinct).any():
+            for some_heads, some_longs, number, starts in grams(rows.column(6).to_pylist()):
+                at = np.minimum(np.searchsorted(keys, _keys(some_heads, some_longs, attempt)), len(keys) - 1)
+                if len(keys) == 0 or (longs[at] != some_longs).any() or (heads[at] != some_heads).any():
                     raise RuntimeError("a text has n-grams that its group has not asked for")
                 sums.append(np.add.reduceat(logps[at][number], starts))
                 sizes.append(np.diff(np.append(starts, len(number))))
             n = np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays([rows.column(3), rows.column(4), pa.array(n, pa.int64()), pa.array(-np.concatenate(sums) / n)], ["doc_id", "lang", "n_symbols", "log_perplexity"])
+            yield pa.RecordBatch.from_arrays([rows.column(4), rows.column(5), pa.array(n, pa.int64()), pa.array(-np.concatenate(sums) / n)], ["doc_id", "lang", "n_symbols", "log_perplexity"])
 
 
 # ------------------------------------------------------------------- the model
@@ -180,35 +216,38 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 def train(texts: DataFrame) -> list[DataFrame]:
-    """Tables of the orders 1 to ORDER: gram, n. Only the highest has counts; lower ones have distinct left neighbours."""
-    top = checkpointed(texts.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
-    tables = [top]
-    for k in range(ORDER - 1, 0, -1):
+    """Tables of the orders 1 to ORDER: gram, n, the last with head. Only it has counts; the others have distinct left neighbours."""
+    top = checkpointed(texts.select("text").mapInArrow(_count, "head int, gram long, n long").groupBy("head", "gram").agg(F.sum("n").alias("n")))
+    tables = [checkpointed(top.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))), top]
+    for _ in range(LONG - 1):
         tables.insert(0, checkpointed(tables[0].groupBy(F.shiftrightunsigned("gram", BITS).alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
     return tables
 
 
 def probabilities(tables: list[DataFrame], wanted: DataFrame) -> DataFrame:
-    """Interpolated probabilities of the wanted n-grams (distinct, of the highest order): gram, p."""
+    """Interpolated probabilities of the wanted n-grams (distinct, of ORDER units, or without a head of one less): their columns, p."""
+    whole = "head" in wanted.columns
     n = F.col("n")
     known: DataFrame | None = None
-    for k, t in enumerate(tables, 1):
+    for k, t in enumerate(tables if whole else tables[:LONG], 1):
         ones = [F.count_if(n == j).alias(f"n{j}") for j in (1, 2, 3, 4)]
         row = t.agg(*ones, F.count(F.lit(1)).alias("v")).first()
         d = discounts(row["n1"], row["n2"], row["n3"], row["n4"])
         cut = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-        before = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
+        top = k == ORDER
+        before = F.shiftleft("gram", BITS).bitwiseOR(F.col("head").cast("long")) if top else F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
         context = t.groupBy(before.alias("context")).agg(F.sum("n").alias("total"), F.sum(cut).alias("cut"))
-        need = wanted if k == len(tables) else wanted.select(F.shiftrightunsigned("gram", BITS * (ORDER - k)).alias("gram")).distinct()
+        need = wanted if top or k == LONG and not whole else wanted.select(F.shiftrightunsigned("gram", BITS * (LONG - k)).alias("gram")).distinct()
         own = F.coalesce((n - cut) / F.col("total"), F.lit(0.0))
         rest = F.coalesce(F.col("cut") / F.col("total"), F.lit(1.0))
-        rows = need.join(t, "gram", "left").withColumn("context", before).join(context, "context", "left")
+        rows = need.join(t, ["head", "gram"] if top else "gram", "left").withColumn("context", before).join(context, "context", "left")
         if known is None:
             # Below single symbols lies the uniform distribution over those seen and one more.
             known = rows.select("gram", (own + rest / (row["v"] + 1)).alias("p"))
         else:
             shorter = known.select(F.col("gram").alias("end"), F.col("p").alias("q"))
-            known = rows.withColumn("end", F.shiftrightunsigned("gram", BITS)).join(shorter, "end").select("gram", (own + rest * F.col("q")).alias("p"))
+            end = F.col("gram") if top else F.shiftrightunsigned("gram", BITS)
+            known = rows.withColumn("end", end).join(shorter, "end").select(*need.columns, (own + rest * F.col("q")).alias("p"))
         known = checkpointed(known)
     return known
 
@@ -222,10 +261,10 @@ def perplexities(docs: DataFrame, tables: list[DataFrame], id_col: str, text_col
     # Rows that come from no file are dealt by hash alone.
     part = F.xxhash64(file, F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(pieces)))
     rows = docs.select(part.alias("part"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, gram long").distinct())
-    p = probabilities(tables, asked.select("gram").distinct())
-    answers = asked.join(p, "gram").select("part", "gram", F.log("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"))
-    stream = answers.unionByName(rows.select("part", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
+    asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, head int, gram long").distinct())
+    p = probabilities(tables, asked.select("head", "gram").distinct())
+    answers = asked.join(p, ["head", "gram"]).select("part", "head", "gram", F.log("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"))
+    stream = answers.unionByName(rows.select("part", F.lit(None).cast("int").alias("head"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
     return stream.repartition("part").sortWithinPartitions("part", F.col("gram").isNull()).mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double")
 
 

@@ -306,6 +306,20 @@ def test_kneser_ney(spark):
     assert abs(sum(kneser_ney([t or "" for t in texts], language_model.ORDER, ["abc" + c for c in symbols]).values()) - 1) < 0.2
 
 
+def test_order_of_the_model(spark):
+    """The model looks at five units: the fourth before a symbol changes its probability."""
+    assert language_model.ORDER == 5
+    texts = ["abcdx" * 9, "zbcdy" * 9, "a\U0001f600cx", "", None]
+    tables = language_model.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    asked = ["abcdx", "zbcdx", "abcdy", "zbcdy", "\x02\x02\x02\x02a", "qqqqq", "\uffff\uffff\uffff\uffff\uffff", "a\ud83d\ude00cx"]
+    wanted = spark.createDataFrame([(ord(g[0]), language_model.packed(g[1:])) for g in asked], "head int, gram long")
+    got = {(r["head"], r["gram"]): r["p"] for r in language_model.probabilities(tables, wanted).collect()}
+    units = lambda t: "".join(map(chr, np.frombuffer(t.encode("utf-16-le"), "<u2").tolist()))
+    want = kneser_ney([units(t or "") for t in texts], 5, asked)
+    assert len(got) == len(asked) and all(abs(got[ord(g[0]), language_model.packed(g[1:])] - want[g]) < 1e-12 for g in asked)
+    assert want["abcdx"] > 2 * want["zbcdx"] and want["zbcdy"] > 2 * want["abcdy"]
+
+
 def test_quality_model(spark, tmp_path):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 7))) for _ in range(80)]
