@@ -320,6 +320,13 @@ def test_order_of_the_model(spark):
     assert want["abcdx"] > 2 * want["zbcdx"] and want["zbcdy"] > 2 * want["abcdy"]
 
 
+def test_limit(spark):
+    """The limit is the quantile itself, and it isn't loose."""
+    rows = [("en", k / 128) for k in range(1, 101)] + [("de", 5.0), ("de", 6.0)]
+    got = {r["lang"]: r["limit"] for r in language_model.limits(spark.createDataFrame(rows, "lang string, log_perplexity double"), language_model.QUANTILE).collect()}
+    assert got["en"] == math.ceil(97 / 128 * 1000) / 1000 and got["de"] == 6.0 and got[None] == math.ceil(99 / 128 * 1000) / 1000
+
+
 def test_quality_model(spark, tmp_path):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 7))) for _ in range(80)]
