@@ -1,8 +1,8 @@
 """From raw documents to packed sequences, in five stages.
 
 Quality rules and the quality classifier drop what they reject, near-dedup
-leaves one document of each group, mixing puts the rest in the order that its
-schedule gives the sources, and packing makes sequences of them.
+leaves one document of each group, mixing gives the rest the slots that its
+schedule gives the sources, and packing makes sequences of ranges of slots, numbered in their order.
 """
 
 from __future__ import annotations
@@ -30,11 +30,11 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_order(docs, registry.SOURCE_PARTS)
+    return mixing.mix(docs, registry.SOURCE_PARTS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, registry.vocabulary(), packing.SEQUENCE)
+    return packing.pack(docs, registry.vocabulary(), packing.SEQUENCE, mixed="slot" in docs.columns)
 
 
 STAGES = [("quality rules", rules), ("quality classifier", classifier), ("near-dedup", dedup), ("mixing", mixed), ("packing", packed)]

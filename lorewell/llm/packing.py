@@ -8,6 +8,10 @@ the longest piece that fits, then its smallest piece is exchanged for two that
 fill its expanded gap more tightly. A shard wastes at most part of a bin, so
 the number of sequences hardly depends on the number of shards.
 
+Documents that have a slot and a place in a mix are packed in its order: a shard is a
+range of slots, full pieces included, and sequences are numbered by the first
+of their pieces, so reading them by number follows the mix.
+
 Edge cases. A null text counts as empty and is one piece, the closing id.
 Repeated rows are documents of their own; null ids are kept. An empty table gives an
 empty result. Extra columns are ignored.
@@ -30,9 +34,13 @@ from .common import checkpointed, small_batches
 SEQUENCE = 2048
 #: Pieces of a shard on average.
 SHARD_PIECES = 8_192
+#: The same for packing by slots: fewer, as documents of a shard change places.
+SLOT_PIECES = 1_024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+#: Columns of a mix.
+ORDER = ["slot", "place"]
 
 
 # ------------------------------------------------------------------ tokenising
@@ -75,14 +83,17 @@ def _tokenise(vocabulary: str, size: int):
         for batch in batches:
             encode = encode or encoder(vocabulary)
             cols: list[list] = [[] for _ in range(5)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows: list[int] = []
+            for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 coded = array("I", encode(text or "")).tobytes() + b"\0\0\0\0"
                 for k, (start, length) in enumerate(cut(len(coded) // 4, size)):
                     crc = zlib.crc32(coded[4 * start : 4 * (start + length)])
                     for col, v in zip(cols, (doc_id, k, start, length, crc), strict=True):
                         col.append(v)
+                    rows.append(row)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
+            others = [batch.column(k).take(pa.array(rows, pa.int64())) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *others], [*(x.split()[0] for x in PIECES.split(", ")), *batch.schema.names[2:]])
 
     return run
 
@@ -138,12 +149,16 @@ def best_two_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def _packed(size: int):
+def _packed(size: int, order: list[str] = []):  # noqa: B006
     def group(shard: pa.Table) -> pa.Table:
         """One shard; numbers of its pieces are all that is held."""
         # An order of their own, so a task that is run again packs alike.
-        shard = shard.sort_by([(k, "ascending") for k in ("length", "doc_id", "piece", "ids_crc32")])
+        shard = shard.sort_by([(k, "ascending") for k in ("length", *order, "doc_id", "piece", "ids_crc32")])
         bins = best_two_fit(shard.column("length").to_pylist(), size)
+        if order:
+            turn = np.empty(len(shard), np.int64)
+            turn[np.lexsort([shard.column(k).to_numpy() for k in ("piece", *reversed(order))])] = np.arange(len(shard))
+            bins = sorted((sorted(content, key=turn.__getitem__) for content in bins), key=lambda content: turn[content[0]])
         base = shard.column("shard")[0].as_py() << 40
         lengths = shard.column("length").to_numpy()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
@@ -157,11 +172,16 @@ def _packed(size: int):
     return group
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text", shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text", shard_pieces: int | None = None, mixed: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Mixed: docs have slot and place, which order the sequences."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    pieces = checkpointed(texts.mapInArrow(_tokenise(vocabulary, size), PIECES))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *(F.col(k).cast("long").alias(k) for k in ORDER if mixed))
+    pieces = checkpointed(texts.mapInArrow(_tokenise(vocabulary, size), PIECES + "".join(f", {k} long" for k in ORDER if mixed)))
+    if mixed:
+        n, last = pieces.agg(F.count(F.lit(1)), F.max("slot")).first()
+        slots = max(1, ((last or 0) + 1) * (shard_pieces or SLOT_PIECES) // max(1, n))
+        return pieces.withColumn("shard", F.floor(F.col("slot") / slots)).groupBy("shard").applyInArrow(_packed(size, ORDER), PACKED)
+    shard_pieces = shard_pieces or SHARD_PIECES
     short = pieces.filter(F.col("length") < size)
     shards = max(1, -(-short.count() // shard_pieces))
     place = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards))

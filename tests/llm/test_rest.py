@@ -359,6 +359,33 @@ def test_id_filters(spark):
     assert {k for k in range(0, 300, 3) if k % 7} <= {r[0] for r in likely_in(frame, "doc_id", ids).collect()}
 
 
+def test_mix_reaches_the_sequences(spark):
+    """Without the mixing stage the first shards would have the sources' shares of the documents, two thirds."""
+    import corpus_pipeline
+
+    sources = {k: "src0" if k % 3 else "src1" for k in range(3840)}
+    rows = [(k, f"{k} " + "some words " * (1 + k % 60) * (40 if k % 500 == 0 else 1), s) for k, s in sources.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = corpus_pipeline.mixed(spark, docs, "").cache()
+    slot = {r["doc_id"]: (r["slot"], r["place"]) for r in mixed.collect()}
+    got, plain = corpus_pipeline.packed(spark, mixed, "").collect(), corpus_pipeline.packed(spark, docs, "").collect()
+    key = lambda r: tuple(r[:5])
+    assert sorted(map(key, got)) == sorted(map(key, plain)) and {r["length"] for r in got} >= {packing.SEQUENCE}
+    content = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == sum(x["length"] for x in content[r["sequence_id"]])
+        content[r["sequence_id"]].append(r)
+    assert all(sum(x["length"] for x in c) <= packing.SEQUENCE for c in content.values())
+    starts = [min((*slot[x["doc_id"]], x["piece"]) for x in content[k]) for k in sorted(content)]
+    assert starts == sorted(starts)
+    # Shards are ranges of slots: the early ones have src0 with ten parts of eleven.
+    shards = sorted({k >> 40 for k in content})
+    spans = [[slot[x["doc_id"]][0] for k, c in content.items() if k >> 40 == s for x in c] for s in shards]
+    assert len(shards) > 2 and all(max(a) < min(b) for a, b in zip(spans, spans[1:]))
+    early = {x["doc_id"] for k, c in content.items() if k >> 40 == shards[0] for x in c}
+    assert abs(sum(sources[i] == "src0" for i in early) / len(early) - 10 / 11) < 1 / 12
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
