@@ -262,6 +262,28 @@ def test_mix(spark):
     assert mixing.mix(frame.limit(0), {}).count() == 0
 
 
+def test_mix_of_many_sources(spark):
+    """Beyond SOURCES sources, named ones keep their parts and every one its share."""
+    rng = random.Random(11)
+    count = {f"s{k}": 1 + (k % 7 == 0) * rng.randint(0, 9) + (k % 100 == 0) * 20 for k in range(1500)} | {"src0": 3000, "src1": 900, None: 5}
+    rows = [(k, s, f"t{k}") for k, s in enumerate(s for s, n in count.items() for _ in range(n))]
+    parts = {"src0": 500, "src1": 250, "absent": 9}
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), parts, block=2).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(rows)))
+    blocks = {(r["slot"], r["source"], r["block"]) for r in got}
+    owner = [s for _, s, _ in sorted(blocks, key=lambda b: b[0])]
+    assert sorted(b[0] for b in blocks) == list(range(len(owner))) and len(owner) == sum(-(-n // 2) for n in count.values())
+    # Deviations of named sources, from the start and again from where sources of one block have run out.
+    unnamed = [(s, b) for _, s, b in sorted(blocks, key=lambda b: b[0]) if s not in parts]
+    assert [b for _, b in unnamed] == sorted(b for _, b in unnamed)
+    first, second = (sum(-(-n // 2) > b for s, n in count.items() if s not in parts) for b in (0, 1))
+    begin = max(k for k, s in enumerate(owner) if s == unnamed[first - 1][0]) + 1
+    for start, live, slots in ((0, first, 750 + first), (begin, second, (750 + second) * 7 // 10)):
+        for k in range(1, slots + 1):
+            seen = owner[start : start + k]
+            assert all(abs(seen.count(s) - k * w / (750 + live)) < 1 for s, w in (("src0", 500), ("src1", 250)))
+
+
 # ------------------------------------------------------------------ language model
 
 
