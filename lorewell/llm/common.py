@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +31,37 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lorewell-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; where a local session leaves it unset, as in tests, one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or _own_folder()).rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the shared folder named by spark.checkpoint.dir.
+    """Cut the lineage with a table written to the shared folder, compressed by column, and read again.
 
-    A folder of our own is set only where the session names none, as in tests.
+    Executors that are lost take nothing of it with them. ``forget`` deletes the table.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete checkpointed tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

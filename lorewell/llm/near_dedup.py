@@ -8,10 +8,13 @@ and a sub-key of the other, so ``COLLECTION ** 2`` tables with keys of
 0.75 a pair meets in no table with a probability below 2e-5.
 
 Sub-keys that only one node has can't meet; they go before pairs of sub-keys are
-formed. In each bucket, every node is compared with the smallest one, on full
-sets. Linked nodes form components; wherever a bucket still holds several
-components, the nodes outside its largest are compared with all nodes of other
-components. So what isn't compared is linked already, and no bucket gives all pairs.
+formed. Candidates are verified in two steps, on full sets. First, in each bucket
+every node is compared with the smallest one, and linked nodes form components.
+Then, where buckets still hold several components, their nodes meet once more
+by sub-key of the first collection, in cells of bounded size: the
+nodes outside the largest component there ask all others. A cell sees the sets
+themselves and gives one link for a node and component, so no pair of a group
+is ever a row; what isn't compared is linked already.
 
 Edge cases. A null or wordless text has an empty set, links with nothing and is
 kept. Fewer than five words make one shingle. Rows with a null id take no part:
@@ -29,18 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, checkpointed, likely_in, mix, small_batches, text_blocks, windows, without
+from .common import Words, checkpointed, forget, likely_in, mix, small_batches, text_blocks, windows, without
 
-WIDTH, COLLECTION, SHINGLE = 2, 14, 5
+WIDTH, COLLECTION, SHINGLE = 3, 22, 5
 HASHES = 2 * WIDTH * COLLECTION
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: A pair of which fewer minhashes are equal isn't compared; at a similarity of 0.75 that has a probability of 4e-7.
-LEAST_EQUAL = 25
-#: Comparisons with one node in a task.
-GROUP = 256
+#: A pair of which fewer minhashes are equal isn't compared; at a similarity of 0.75 that has a probability below 3e-7.
+LEAST_EQUAL = 73
+#: Bytes of sets of the asking and of the answering nodes of a cell, on average.
+ASK_BYTES, ANSWER_BYTES = 1 << 20, 4 << 20
 
-SKETCH = "doc_id long, n_shingles long, mark binary, subs array<long>, mins binary"
+SKETCH = "doc_id long, n_shingles long, mark binary, subs array<long>"
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -78,41 +81,57 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sub_keys(mins: np.ndarray) -> np.ndarray:
-    """The sub-keys of both collections: a row of 2 * COLLECTION for each row of minhashes."""
+    """The sub-keys of both collections, a row of 2 * COLLECTION longs for each row of minhashes.
+
+    A long has WIDTH minhashes of 16 bits, and above them the sub-key's number.
+    """
+    short = (mins * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint64)
     keys = np.tile(np.arange(2 * COLLECTION, dtype=np.uint64), (len(mins), 1))
     for k in range(WIDTH):
-        keys = mix(keys ^ mins[:, k::WIDTH].astype(np.uint64))
-    return keys
+        keys = keys << np.uint64(16) | short[:, k::WIDTH]
+    return keys.astype(np.int64)
+
+
+def equal_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many minhashes agree, by row of the sub-keys a and b."""
+    lanes = (np.ascontiguousarray(x).view("<u2") for x in (a, b))
+    return np.equal(*lanes).sum(-1) - 2 * COLLECTION  # one lane in four is the number
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(shingle_sets(batch.column(1)))
         full = [k for k, s in enumerate(sets) if len(s)]
-        marks, subs, mins = [None] * len(sets), [None] * len(sets), [None] * len(sets)
+        marks, subs = [None] * len(sets), [None] * len(sets)
         if full:
-            m = minhashes([sets[k] for k in full])
-            keys, low = sub_keys(m).astype(np.int64), (m >> np.uint32(16)).astype("<u2")
+            keys = sub_keys(minhashes([sets[k] for k in full]))
             for j, k in enumerate(full):
                 s = sets[k]
                 marks[k] = np.array([s.sum(), mix(s + np.uint64(7)).sum()], dtype=np.uint64).tobytes()
-                subs[k], mins[k] = keys[j], low[j].tobytes()
+                subs[k] = keys[j]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), pa.array(subs, pa.list_(pa.int64())), pa.array(mins, pa.binary())],
+            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), pa.array(subs, pa.list_(pa.int64()))],
             [c.split()[0] for c in SKETCH.split(", ")],
         )
 
 
+def _rows(lists: pa.Array) -> np.ndarray:
+    """Lists of sub-keys as a matrix."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * COLLECTION)
+
+
+def _near_sizes(n: np.ndarray, m: np.ndarray | int) -> np.ndarray:
+    """Whether sets of n and m shingles can be linked: the union is as large as the larger at least, the intersection as large as the smaller at most."""
+    return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (x, y, n_x, n_y, m_x, m_y) those that sizes and minhashes don't rule out."""
+    """Of pairs (x, y, n_x, n_y, s_x, s_y) those that sizes and minhashes don't rule out."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        n = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3)])
-        m = [np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype="<u2").reshape(-1, HASHES) for k in (4, 5)]
-        # The union is as large as the larger set at least, the intersection as large as the smaller at most.
-        ok = (100 * n.min(0) >= PERCENT * n.max(0)) & ((m[0] == m[1]).sum(1) >= LEAST_EQUAL)
-        yield batch.select([0, 1]).filter(pa.array(ok))
+        if batch.num_rows:
+            n_x, n_y = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            ok = _near_sizes(n_x, n_y) & (equal_hashes(_rows(batch.column(4)), _rows(batch.column(5))) >= LEAST_EQUAL)
+            yield batch.select([0, 1]).filter(pa.array(ok))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -147,26 +166,84 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) that are linked; sets: node, shingles. A node with many partners is split over tasks."""
-    degree = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
-    placed = pairs.join(degree, "y").select("x", "y", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"))
+    """The pairs (x, y) that are linked; sets: node, shingles. Ranges of pairs by y and x, so a node with many partners is in several."""
+    placed = checkpointed(pairs.repartitionByRange("y", "x").select("x", "y", F.spark_partition_id().alias("part")))
     asked = placed.select("y", "part", "x", F.col("x").alias("node")).unionByName(placed.select("y", "part").distinct().select("y", "part", F.lit(None).cast("long").alias("x"), F.col("y").alias("node")))
-    rows = asked.join(sets, "node").select("y", "part", "x", "shingles")
-    return rows.repartition("y", "part").sortWithinPartitions("y", "part", F.col("x").asc_nulls_first()).mapInArrow(_compare, "x long, y long")
+    rows = asked.join(sets.select("node", "shingles"), "node").select("y", "part", "x", "shingles")
+    edges = checkpointed(rows.repartition("y", "part").sortWithinPartitions("y", "part", F.col("x").asc_nulls_first()).mapInArrow(_compare, "x long, y long"))
+    forget(placed)
+    return edges
+
+
+def _cell(cell: pa.Table) -> pa.Table:
+    """Rows (asks, node, label, subs, shingles) -> links (x, y) between components, one at most for an asking node and another component."""
+    asks = cell.column("asks").to_numpy()
+    node, label = cell.column("node").to_numpy(), cell.column("label").to_numpy()
+    xs: list[int] = []
+    ys: list[int] = []
+    inner, outer = np.flatnonzero(asks), np.flatnonzero(~asks)
+    if len(inner) and len(outer):
+        subs = _rows(cell.column("subs").combine_chunks())
+        raw = cell.column("shingles").to_pylist()
+        size = np.array([len(r) // 8 for r in raw])
+        # The answering sets as numbers of their distinct shingles, so one look-up compares an asking set with all.
+        known, number = np.unique(np.concatenate([np.frombuffer(raw[k], dtype=np.uint64) for k in outer]), return_inverse=True)
+        stops = np.concatenate([[0], np.cumsum(size[outer])])
+        others, other_labels, other_sizes = subs[outer], label[outer], size[outer]
+        for u in inner.tolist():
+            near = np.flatnonzero((other_labels != label[u]) & _near_sizes(other_sizes, size[u]))
+            near = near[equal_hashes(others[near], subs[u]) >= LEAST_EQUAL]
+            if not len(near):
+                continue
+            own = np.frombuffer(raw[u], dtype=np.uint64)
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            has = np.zeros(len(known), dtype=np.int64)
+            has[at[known[at] == own]] = 1
+            if 4 * len(near) > len(outer):
+                both = np.add.reduceat(has[number], stops[:-1])[near]
+            else:
+                both = np.array([has[number[stops[v] : stops[v + 1]]].sum() for v in near])
+            met = near[100 * both >= PERCENT * (size[u] + other_sizes[near] - both)]
+            for v in met[np.unique(other_labels[met], return_index=True)[1]]:
+                xs.append(int(node[u]))
+                ys.append(int(node[outer[v]]))
+    return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+
+
+def _open_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components, of the nodes in groups: a (the group's name), node, label; sets: node, subs, shingles."""
+    weight = F.octet_length("shingles") + F.lit(8 * 2 * COLLECTION)
+    weighed = checkpointed(groups.join(sets.select("node", weight.alias("weight")), "node"))
+    by_label = weighed.groupBy("a", "label").agg(F.sum("weight").alias("weight"))
+    every = F.sum("weight")
+    plan = by_label.groupBy("a").agg(
+        F.max_by("label", F.struct("weight", "label")).alias("main"), F.ceil((every - F.max("weight")) / ASK_BYTES).cast("int").alias("ask"), F.ceil(every / ANSWER_BYTES).cast("int").alias("answer"))
+    # A block of asking nodes meets each block of all the group's nodes in one cell.
+    placed = weighed.join(plan.filter("ask > 0"), "a").withColumn("hash", F.xxhash64("node"))
+    block = lambda c: F.pmod("hash", F.col(c)).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asking = placed.filter("label <> main").select("a", block("ask").alias("i"), each("answer").alias("j"), F.lit(True).alias("asks"), "node", "label")
+    answering = placed.select("a", each("ask").alias("i"), block("answer").alias("j"), F.lit(False).alias("asks"), "node", "label")
+    cells = asking.unionByName(answering).join(sets, "node").groupBy("a", "i", "j").applyInArrow(_cell, "x long, y long")
+    links = checkpointed(cells.distinct())
+    forget(weighed)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
     """The smallest id that each node of the edges (x, y) reaches: node, label."""
     both = checkpointed(edges.select(F.col("x").alias("node"), F.col("y").alias("other")).unionByName(edges.select(F.col("y").alias("node"), F.col("x").alias("other"))).distinct())
-    labels = checkpointed(both.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("label")))
+    now = checkpointed(both.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("label")))
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("l")), "other").groupBy("node").agg(F.min("l").alias("l"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("label"))
+        near = both.join(now.select(F.col("node").alias("other"), F.col("label").alias("l")), "other").groupBy("node").agg(F.min("l").alias("l"))
+        step = now.select("node", "label").join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("label"))
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("l"))
         new = checkpointed(step.join(jump, "label", "left").select("node", "was", F.least("label", "l").alias("label")))
-        labels = new.select("node", "label")
+        forget(now)
+        now = new
         if new.filter("label <> was").limit(1).count() == 0:
-            return labels
+            forget(both)
+            return new
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,51 +253,48 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sketches = checkpointed(rows.mapInArrow(_sketch, SKETCH))
     full = sketches.filter("mark is not null and doc_id is not null")
     # Equal sets are one node, named by the smallest id.
-    nodes = checkpointed(full.groupBy("mark", "n_shingles").agg(F.min(F.struct("doc_id", "subs", "mins")).alias("first")).select(F.col("first.doc_id").alias("node"), "mark", "n_shingles", "first.subs", "first.mins"))
+    nodes = checkpointed(full.groupBy("mark", "n_shingles").agg(F.min(F.struct("doc_id", "subs")).alias("first")).select(F.col("first.doc_id").alias("node"), "mark", "n_shingles", "first.subs"))
 
-    subs = nodes.select("node", F.posexplode("subs").alias("at", "sub"))
-    shared = subs.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sub")
+    subs = nodes.select("node", F.explode("subs").alias("sub"))
+    shared = checkpointed(subs.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sub"))
     side = lambda c: F.collect_list(F.when(c, F.col("sub")))
-    sides = subs.join(shared, "sub", "left_semi").groupBy("node").agg(side(F.col("at") < COLLECTION).alias("a"), side(F.col("at") >= COLLECTION).alias("b"))
-    keys = sides.select("node", F.explode("a").alias("a"), "b").select("node", "a", F.explode("b").alias("b")).select("node", F.xxhash64("a", "b").alias("key"))
+    second = F.col("sub") >= COLLECTION << 16 * WIDTH
+    sides = likely_in(subs, "sub", shared).join(shared, "sub", "left_semi").groupBy("node").agg(side(~second).alias("a"), side(second).alias("b"))
+    keys = sides.select("node", F.explode("a").alias("a"), "b").select("node", "a", F.explode("b").alias("b")).select("node", "a", F.xxhash64("a", "b").alias("key"))
     # Copies of a group meet in many tables: of buckets with the same nodes one is enough.
     mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
     every = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"), F.max("node").alias("last"), mark(1).alias("m1"), mark(2).alias("m2")).filter("n > 1")
     hubs = checkpointed(every.groupBy("n", "hub", "last", "m1", "m2").agg(F.min("key").alias("key")).filter("hub <> last"))
-    buckets = checkpointed(keys.join(hubs.filter("n > 2").select("key", "hub"), "key").select("key", "node", "hub"))
-    stars = hubs.filter("n = 2").select(F.col("last").alias("x"), F.col("hub").alias("y")).unionByName(buckets.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))).distinct()
-    stars = checkpointed(stars)
+    buckets = checkpointed(keys.join(hubs.filter("n > 2").select("key", "hub"), "key").select("key", "a", "node", "hub"))
+    stars = checkpointed(hubs.filter("n = 2").select(F.col("last").alias("x"), F.col("hub").alias("y")).unionByName(buckets.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))).distinct())
+    forget(shared, hubs)
     inside = checkpointed(stars.select("x").union(stars.select("y")).distinct().toDF("node"))
-    facts = checkpointed(nodes.select("node", "n_shingles", "mins").join(inside, "node", "left_semi"))
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        with_x = pairs.join(facts.select(F.col("node").alias("x"), F.col("n_shingles").alias("n_x"), F.col("mins").alias("m_x")), "x")
-        with_y = with_x.join(facts.select(F.col("node").alias("y"), F.col("n_shingles").alias("n_y"), F.col("mins").alias("m_y")), "y")
-        return checkpointed(with_y.select("x", "y", "n_x", "n_y", "m_x", "m_y").mapInArrow(_likely, "x long, y long"))
-
-    sets = checkpointed(likely_in(rows, "doc_id", inside).select(F.col("doc_id").alias("node"), "text").join(inside, "node", "left_semi").mapInArrow(_full_sets, "node long, shingles binary"))
-    first = likely(stars)
-    edges = checkpointed(_compared(first, sets))
+    texts = likely_in(rows, "doc_id", inside).select(F.col("doc_id").alias("node"), "text").join(inside, "node", "left_semi").mapInArrow(_full_sets, "node long, shingles binary")
+    # An id with several texts has as many sets; none of them is lost.
+    sets = checkpointed(texts.join(nodes.select("node", "subs").join(inside, "node", "left_semi"), "node"))
+    facts = nodes.join(inside, "node", "left_semi")
+    with_x = stars.join(facts.select(F.col("node").alias("x"), F.col("n_shingles").alias("n_x"), F.col("subs").alias("s_x")), "x")
+    with_y = with_x.join(facts.select(F.col("node").alias("y"), F.col("n_shingles").alias("n_y"), F.col("subs").alias("s_y")), "y")
+    likely = checkpointed(with_y.select("x", "y", "n_x", "n_y", "s_x", "s_y").mapInArrow(_likely, "x long, y long"))
+    edges = _compared(likely, sets)
     labels = components(edges)
+    forget(stars, inside, likely, edges)
 
-    # What is left open: buckets with several components, their nodes beyond the largest one.
-    known = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max_by("label", "n").alias("main")).filter("m > 1").select("key", "main")
-    open_ = checkpointed(known.join(sizes, "key"))
-    minor = open_.filter("label <> main").select("key", F.col("node").alias("u"), F.col("label").alias("label_u"))
-    rest = minor.join(open_, "key").filter("label <> label_u").select(F.greatest("u", "node").alias("x"), F.least("u", "node").alias("y")).distinct()
-    second = likely(rest.join(stars, ["x", "y"], "left_anti"))
-    more = checkpointed(_compared(second, sets))
+    # What is left open: buckets with several components.
+    known = checkpointed(buckets.join(labels, "node", "left").select("key", "a", "node", F.coalesce("label", "node").alias("label")))
+    several = known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+    more = _open_links(known.join(several, "key", "left_semi").select("a", "node", "label").distinct(), sets)
+    forget(buckets, known, sets)
     if more.limit(1).count():
         # Components of components: a small graph.
         to = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
-        ends = more.join(to("x"), "x", "left").join(to("y"), "y", "left").select(F.coalesce("l_x", "x").alias("x"), F.coalesce("l_y", "y").alias("y"))
+        ends = checkpointed(more.join(to("x"), "x", "left").join(to("y"), "y", "left").select(F.coalesce("l_x", "x").alias("x"), F.coalesce("l_y", "y").alias("y")))
         joined = components(ends)
         again = joined.select(F.col("node").alias("was"), F.col("label").alias("now"))
-        moved = labels.join(again, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
-        labels = checkpointed(moved.unionByName(joined.join(labels, "node", "left_anti")))
+        moved = labels.select("node", "label").join(again, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
+        labels = checkpointed(moved.unionByName(joined.select("node", "label").join(labels, "node", "left_anti")))
 
-    names = nodes.select("mark", "n_shingles", "node").join(labels, "node", "left").select("mark", "n_shingles", F.coalesce("label", "node").alias("label"))
+    names = nodes.select("mark", "n_shingles", "node").join(labels.select("node", "label"), "node", "left").select("mark", "n_shingles", F.coalesce("label", "node").alias("label"))
     placed = full.select("doc_id", "n_shingles", "mark").join(names, ["mark", "n_shingles"]).select("doc_id", "n_shingles", F.col("label").alias("component_id"))
     alone = sketches.filter("mark is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -109,6 +109,26 @@ def test_near_dedup(spark, copies):
     assert all(r["kept"] == (r["component_id"] == k) for k, r in rows.items())
 
 
+def test_large_group_around_the_limit(spark, monkeypatch):
+    """Several hundred copies of one text, most pairs below the limit: no link is lost, in many small cells too."""
+    rng = random.Random(12)
+    base = made(rng, 90).split()
+    texts = []
+    for _ in range(350):
+        copy = list(base)
+        for _ in range(rng.randint(0, 8)):
+            copy[rng.randrange(len(copy))] = made(rng, 1)
+        texts.append(" ".join(copy))
+    texts += [t for t in texts[:60]]
+    want = brute(list(enumerate(texts)))
+    assert 20 < len(set(want.values())) < 300
+    for ask, answer in ((near_dedup.ASK_BYTES, near_dedup.ANSWER_BYTES), (20_000, 30_000)):
+        monkeypatch.setattr(near_dedup, "ASK_BYTES", ask)
+        monkeypatch.setattr(near_dedup, "ANSWER_BYTES", answer)
+        got = near_dedup.near_dedup(docs(spark, texts))
+        assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
 def test_keep_first(spark, copies):
     texts = [t for _, t in copies]
     left = near_dedup.keep_first(docs(spark, texts + texts[:5], [*range(len(texts)), *range(5)]))
