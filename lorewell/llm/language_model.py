@@ -20,6 +20,7 @@ an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import count
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fits, likely_in, small_batches, without
+from .common import checkpointed, fits, forget, likely_in, small_batches, without
 
 #: An n-gram of up to four 16-bit units of UTF-16 is one long, the first in the lowest bits. The first unit
 #: of five is a column of its own, ``head``, and the long has the other four.
@@ -241,31 +242,44 @@ def probabilities(tables: list[DataFrame], wanted: DataFrame) -> DataFrame:
         own = F.coalesce((n - cut) / F.col("total"), F.lit(0.0))
         rest = F.coalesce(F.col("cut") / F.col("total"), F.lit(1.0))
         rows = need.join(t, ["head", "gram"] if top else "gram", "left").withColumn("context", before).join(context, "context", "left")
+        shorter = known
         if known is None:
             # Below single symbols lies the uniform distribution over those seen and one more.
             known = rows.select("gram", (own + rest / (row["v"] + 1)).alias("p"))
         else:
-            shorter = known.select(F.col("gram").alias("end"), F.col("p").alias("q"))
+            ends = known.select(F.col("gram").alias("end"), F.col("p").alias("q"))
             end = F.col("gram") if top else F.shiftrightunsigned("gram", BITS)
-            known = rows.withColumn("end", end).join(shorter, "end").select(*need.columns, (own + rest * F.col("q")).alias("p"))
-        known = checkpointed(known)
+            known = rows.withColumn("end", end).join(ends, "end").select(*need.columns, (own + rest * F.col("q")).alias("p"))
+        last, known = shorter, checkpointed(known)
+        if last is not None:
+            forget(last)
     return known
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether the rows come straight from files, so each has the same file at every reading."""
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    return all(re.match(r"[\s:+-]*(?:Project|Filter|Relation|LocalLimit 0)\b", line) for line in plan.splitlines() if line.strip()) and "Relation" in plan
+
+
 def perplexities(docs: DataFrame, tables: list[DataFrame], id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """doc_id, lang, n_symbols, log_perplexity of every document."""
+    own = [] if _is_scan(docs) else [docs := checkpointed(docs)]
     file = F.input_file_name()
-    size = docs.select(F.octet_length(F.col(f"`{text_col}`")).alias("b"), file.alias("f")).groupBy("f").agg(F.sum("b").alias("b")).agg(F.max("b"), F.max(F.col("f") == ""))
-    largest, computed = size.first()
+    size = docs.select(F.octet_length(F.col(f"`{text_col}`")).alias("b"), file.alias("f")).groupBy("f").agg(F.sum("b").alias("b"))
+    largest, files = size.agg(F.max("b"), F.count(F.lit(1))).first()
     pieces = max(1, -(-(largest or 0) // GROUP_BYTES))
-    # Rows that come from no file are dealt by hash alone.
     part = F.xxhash64(file, F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(pieces)))
     rows = docs.select(part.alias("part"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, head int, gram long").distinct())
     p = probabilities(tables, asked.select("head", "gram").distinct())
     answers = asked.join(p, ["head", "gram"]).select("part", "head", "gram", F.log("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"))
     stream = answers.unionByName(rows.select("part", F.lit(None).cast("int").alias("head"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
-    return stream.repartition("part").sortWithinPartitions("part", F.col("gram").isNull()).mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double")
+    # A task has one group, or a few by chance, whatever their number.
+    scored = stream.repartition(max(1, files * pieces), "part").sortWithinPartitions("part", F.col("gram").isNull()).mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double")
+    scores = checkpointed(scored)
+    forget(asked, p, *own)
+    return scores
 
 
 def limits(scores: DataFrame, quantile: float) -> DataFrame:
@@ -287,7 +301,8 @@ def quality_model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     ids: Column = F.col("doc_id") == F.col("__id")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     tables = train(likely_in(texts, "doc_id", taught).join(taught, ids, "left_semi"))
-    scores = checkpointed(perplexities(docs, tables, id_col, text_col, lang_col))
+    scores = perplexities(docs, tables, id_col, text_col, lang_col)
+    forget(*tables)
     limit = checkpointed(limits(scores.join(trusted.filter(held), ids, "left_semi"), quantile))
     overall = limit.filter("lang is null").first()
     own = limit.filter("lang is not null").withColumnRenamed("lang", "l_lang")
