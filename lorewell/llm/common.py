@@ -44,13 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or _own_folder()).rstrip("/")
 
 
+#: Whether shuffle files go when the query that made them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a table written to the shared folder, compressed by column, and read again.
 
     Executors that are lost take nothing of it with them. ``forget`` deletes the table.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")  # the shuffles behind a written table serve nothing else
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out

@@ -41,6 +41,8 @@ LONG = ORDER - 1
 BEGIN, END = "\x02", "\x03"
 #: Units taken on at once, and n-grams gathered before they are merged.
 BLOCK_UNITS, MERGE = 1 << 18, 1 << 19
+#: Bytes of documents that are compressed together for the shuffle.
+BLOB_BYTES = 1 << 20
 #: A file with more bytes of text than this is several groups.
 GROUP_BYTES = 32 << 20
 #: One trusted document in so many calibrates; their quantile is the limit, in steps of 1 / STEPS of a nat.
@@ -165,27 +167,82 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(p)
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, head, gram, logp, doc_id, lang, text), each part's grams first -> (doc_id, lang, n_symbols, log_perplexity)."""
-    part, attempt, fresh = None, 0, []
-    heads, longs, logps, keys = (none := (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)))
+def _blob(columns: dict[str, pa.Array]) -> bytes:
+    """A compressed table in one value."""
+    sink = pa.BufferOutputStream()
+    rows = pa.record_batch(list(columns.values()), names=list(columns))
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _blobs(parts: list[int], texts: bool, blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array([texts] * len(parts), pa.bool_()), pa.array(blobs, pa.binary())], ["part", "texts", "blob"])
+
+
+def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, doc_id, lang, text) -> (part, texts, blob): documents of a part, compressed together."""
+    held: dict[int, list[pa.RecordBatch]] = {}
+    sizes: dict[int, int] = {}
+
+    def out(part: int) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held.pop(part)).combine_chunks()
+        del sizes[part]
+        return _blobs([part], True, [_blob({c: rows.column(c).combine_chunks() for c in rows.column_names})])
 
     for batch in batches:
         parts = batch.column(0).to_numpy(zero_copy_only=False)
-        is_gram = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(is_gram.astype(np.int8)) != 0)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-            if a == b:
-                continue
-            if parts[a] != part:
-                part, fresh = parts[a], []
-                heads, longs, logps, keys = none
-            rows = batch.slice(a, b - a)
-            if is_gram[a]:
-                fresh.append([rows.column(c).to_numpy(zero_copy_only=False).astype(t) for c, t in ((1, np.int32), (2, np.int64), (3, np.float64))])
+        for part in np.unique(parts).tolist():
+            rows = batch.select([1, 2, 3]).take(pa.array(np.flatnonzero(parts == part)))
+            held.setdefault(part, []).append(rows)
+            sizes[part] = sizes.get(part, 0) + rows.nbytes
+            if sizes[part] > BLOB_BYTES:
+                yield out(part)
+        if sum(sizes.values()) > 32 * BLOB_BYTES:
+            for part in list(held):
+                yield out(part)
+    for part in list(held):
+        yield out(part)
+
+
+def _pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, head, gram, logp) -> (part, texts, blob): answers to a part, compressed together."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        part, head, gram, logp = (rows.column(k).to_numpy() for k in range(4))
+        order = np.lexsort((gram, part))
+        part, head, gram, logp = part[order], head[order], gram[order], logp[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        blobs = [_blob({"head": pa.array(head[a:b].astype(np.uint16)), "gram": pa.array(gram[a:b]), "logp": pa.array(logp[a:b])}) for a, b in spans]
+        return _blobs(part[cuts[:-1]].tolist(), False, blobs)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) > MERGE:
+            yield out()
+            held = []
+    if held:
+        yield out()
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, texts, blob), each part's answers first -> (doc_id, lang, n_symbols, log_perplexity)."""
+    part, fresh = None, []
+    for batch in batches:
+        for k in range(batch.num_rows):
+            if batch.column(0)[k].as_py() != part:
+                part, fresh, keys = batch.column(0)[k].as_py(), [], None
+            rows = pa.ipc.open_stream(batch.column(2)[k].as_buffer()).read_all()
+            if not batch.column(1)[k].as_py():
+                fresh.append(rows)
                 continue
-            if fresh:
-                heads, longs, logps = (np.concatenate([x, *y]) for x, y in zip((heads, longs, logps), zip(*fresh, strict=True), strict=True))
+            if keys is None:
+                answers = pa.concat_tables(fresh)
+                heads, longs, logps = answers.column(0).to_numpy().astype(np.int32), answers.column(1).to_numpy(), answers.column(2).to_numpy().astype(np.float64)
                 fresh = []
                 for attempt in count():
                     keys = _keys(heads, longs, attempt)
@@ -195,14 +252,15 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         break
                 heads, longs, logps = heads[order], longs[order], logps[order]
             sums, sizes = [], []
-            for some_heads, some_longs, number, starts in grams(rows.column(6).to_pylist()):
+            for some_heads, some_longs, number, starts in grams(rows.column(2).to_pylist()):
                 at = np.minimum(np.searchsorted(keys, _keys(some_heads, some_longs, attempt)), len(keys) - 1)
-                if len(keys) == 0 or (longs[at] != some_longs).any() or (heads[at] != some_heads).any():
+                if (longs[at] != some_longs).any() or (heads[at] != some_heads).any():
                     raise RuntimeError("a text has n-grams that its group has not asked for")
                 sums.append(np.add.reduceat(logps[at][number], starts))
                 sizes.append(np.diff(np.append(starts, len(number))))
             n = np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays([rows.column(4), rows.column(5), pa.array(n, pa.int64()), pa.array(-np.concatenate(sums) / n)], ["doc_id", "lang", "n_symbols", "log_perplexity"])
+            ids, langs = (rows.column(c).combine_chunks() for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([ids, langs, pa.array(n, pa.int64()), pa.array(-np.concatenate(sums) / n)], ["doc_id", "lang", "n_symbols", "log_perplexity"])
 
 
 # ------------------------------------------------------------------- the model
@@ -273,12 +331,13 @@ def perplexities(docs: DataFrame, tables: list[DataFrame], id_col: str, text_col
     rows = docs.select(part.alias("part"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     asked = checkpointed(rows.select("part", "text").mapInArrow(_ask, "part long, head int, gram long").distinct())
     p = probabilities(tables, asked.select("head", "gram").distinct())
-    answers = asked.join(p, ["head", "gram"]).select("part", "head", "gram", F.log("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"))
-    stream = answers.unionByName(rows.select("part", F.lit(None).cast("int").alias("head"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text"))
-    # A task has one group, or a few by chance, whatever their number.
-    scored = stream.repartition(max(1, files * pieces), "part").sortWithinPartitions("part", F.col("gram").isNull()).mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double")
-    scores = checkpointed(scored)
-    forget(asked, p, *own)
+    packed = "part long, texts boolean, blob binary"
+    answers = checkpointed(asked.join(p, ["head", "gram"]).select("part", "head", "gram", F.log("p").cast("float").alias("logp")).mapInArrow(_pack_answers, packed))
+    forget(asked, p)
+    stream = answers.unionByName(rows.mapInArrow(_pack_texts, packed))
+    # A task has one group, seldom two by chance, whatever their number.
+    scores = checkpointed(stream.repartition(max(1, 3 * files * pieces), "part").sortWithinPartitions("part", "texts").mapInArrow(_score, "doc_id long, lang string, n_symbols long, log_perplexity double"))
+    forget(answers, *own)
     return scores
 
 
