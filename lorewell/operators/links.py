@@ -49,6 +49,26 @@ def resolve_links(links: DataFrame, pages: DataFrame, entities: DataFrame) -> Da
     return rekey(by_title, parents, ["title"]).select("parent", "child", "child_is_cat")
 
 
+def link_metrics(links: DataFrame, pages: DataFrame, entities: DataFrame) -> dict[str, DataFrame]:
+    """``title_counts``, and ``group_sizes`` of the three joins of ``resolve_links``."""
+    named = titles(entities)
+    page_ids = pages.select("title", (F.col("namespace") == CATEGORY_NAMESPACE).alias("is_cat"), "page_id")
+    categories = links.select("page_id", F.col("category").alias("title"))
+    by_page = rekey(named, page_ids, ["title", "is_cat"])
+    return {
+        "titles": title_counts(entities),
+        "title_to_page": group_sizes(named, page_ids, ["title", "is_cat"]),
+        "page_to_category": group_sizes(by_page, categories, ["page_id"]),
+        "category_to_parent": group_sizes(rekey(by_page.select("page_id"), categories, ["page_id"]), named.filter("is_cat").select("title"), ["title"]),
+    }
+
+
+def page_categories(pages: DataFrame, links: DataFrame) -> DataFrame:
+    """Each page with the sorted titles of its categories: page_id, categories. A page's links are few."""
+    listed = links.groupBy("page_id").agg(F.sort_array(F.collect_list("category")).alias("categories"))
+    return pages.select("page_id").join(listed, "page_id", "left").select("page_id", F.coalesce("categories", F.array().cast("array<string>")).alias("categories"))
+
+
 def split_links(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges between categories (child, parent), and links of leaves (leaf_id, parent)."""
     nodes = resolved.filter("child_is_cat").select("child", "parent")

@@ -14,6 +14,12 @@ def leaf_scores(leaf_links: DataFrame, leaves: DataFrame) -> DataFrame:
     return leaf_links.select("leaf_id", "parent").distinct().join(best, "leaf_id", "left").select("parent", "leaf_id", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
+def repeated(rows: DataFrame, key: str) -> DataFrame:
+    """How many keys occur more than once, and in how many rows: keys, rows. What is merged by ``leaf_scores`` or as nodes."""
+    several = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return several.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
 def top_leaves(rows: DataFrame, n: int) -> DataFrame:
     """The n best distinct leaves of each node (node, leaf_id, score), with ``pos`` from 1; ties to the smaller leaf.
 

@@ -135,10 +135,12 @@ def category_index_cyclic(spark: SparkSession, d: str) -> DataFrame:
 
 
 def category_index_cutoff(spark: SparkSession, d: str) -> DataFrame:
-    """Two passes only: regions are ready, the root is pending."""
+    """Two passes only: regions are ready, the root is pending. Leaves and children waited for, by node."""
     index = leaf_index.create_index(*_graph(spark, d), iters=1, n=4)
-    state = lambda nodes, name: nodes.select("node_id", F.lit(name).alias("state"), F.size("top_leaves").alias("leaves"), F.size("unprocessed_children").alias("waits"))
-    return state(index.done, "done").unionByName(state(index.pending, "pending")).unionByName(state(index.ready, "ready"))
+    state = lambda nodes, name: nodes.withColumn("state", F.lit(name))
+    every = state(index.done, "done").unionByName(state(index.pending, "pending")).unionByName(state(index.ready, "ready"))
+    part = lambda kind, c: every.select("node_id", "state", F.lit(kind).alias("kind"), F.posexplode(c).alias("pos", "member"))
+    return part("leaf", "top_leaves.leaf_id").unionByName(part("waits", "unprocessed_children")).unionByName(every.select("node_id", "state", F.lit("node").alias("kind"), F.lit(0).alias("pos"), F.lit("").alias("member")))
 
 
 def category_index_from_links(spark: SparkSession, d: str) -> DataFrame:
@@ -177,7 +179,21 @@ def ancestors_cyclic(spark: SparkSession, d: str) -> DataFrame:
 def ancestors_cutoff(spark: SparkSession, d: str) -> DataFrame:
     """Two passes reach four hops; what may go on is left as the frontier."""
     g = ancestors.gather_ancestors(_chain(spark, d), iterations=2)
-    return g.select("node_id", F.size("ancestors").alias("ancestors"), F.size("unprocessed_ancestors").alias("unprocessed"))
+    flat = g.select(F.col("node_id").alias("node"), F.explode("ancestors").alias("ancestor", "depth"), F.col("unprocessed_ancestors").alias("open"))
+    return flat.select("node", "ancestor", "depth.instances", "depth.subclasses", F.array_contains("open", F.col("ancestor")).alias("frontier"))
+
+
+def entity_ancestors(spark: SparkSession, d: str) -> DataFrame:
+    """From entities with claims: suppliers are instances of nations, nations subclasses of regions, which claim nothing."""
+    s, n, r = (_t(spark, d, t) for t in ("supplier", "nation", "region"))
+    one = lambda p, c: F.create_map(F.lit(p), F.array(c.cast("long")))
+    rows = (
+        s.select((F.col("s_suppkey") + F.lit(ROOT)).alias("qid"), one(INSTANCE_OF, F.col("s_nationkey") + F.lit(NATION)).alias("claims"))
+        .unionByName(n.select((F.col("n_nationkey") + F.lit(NATION)).alias("qid"), one(SUBCLASS_OF, F.col("n_regionkey") + F.lit(REGION)).alias("claims")))
+        .unionByName(r.select((F.col("r_regionkey") + F.lit(REGION)).alias("qid"), F.create_map().cast("map<int,array<bigint>>").alias("claims")))
+    )
+    gathered = ancestors.gather_entity_ancestors(rows)
+    return gathered.select(F.col("node_id").alias("node"), F.explode_outer("ancestors").alias("ancestor", "depth")).select("node", "ancestor", "depth.instances", "depth.subclasses")
 
 
 # ---------------------------------------------------------------- readers, sinks
@@ -220,8 +236,52 @@ def json_claims(spark: SparkSession, d: str) -> DataFrame:
     return found.select("qid", "title", "label", "sitelinks", F.explode("claims").alias("pid", "items")).select("qid", "title", "label", "sitelinks", "pid", F.explode("items").alias("item"))
 
 
+def json_claim_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as entities whose claims fail in one way each, by key: only those without a rank, or a common one, count."""
+    k = F.col("o_orderkey") % 11
+    rank = F.when(k == 0, F.lit(None)).when(k == 1, F.lit("deprecated")).otherwise(F.lit("preferred")).cast("string")
+    snak = F.struct(
+        F.when(k == 2, F.lit("novalue")).otherwise(F.lit("value")).alias("snaktype"),
+        F.when(k == 3, F.lit("string")).otherwise(F.lit("wikibase-item")).alias("datatype"),
+        F.when(
+            k != 4,
+            F.struct(
+                F.when(k == 5, F.lit("string")).otherwise(F.lit("wikibase-entityid")).alias("type"),
+                F.when(k != 6, F.struct(F.when(k == 7, F.lit("property")).otherwise(F.lit("item")).alias("entity-type"), F.when(k != 8, F.concat(F.lit("Q"), "o_custkey")).alias("id"))).alias("value"),
+            ),
+        ).alias("datavalue"),
+    )
+    claims = F.when(k != 9, F.struct(F.array(F.struct(rank.alias("rank"), snak.alias("mainsnak"))).alias("P31")))
+    title = F.when(F.col("o_orderkey") % 5 == 0, F.lit("")).when(F.col("o_orderkey") % 5 != 1, F.concat(F.lit("An order "), F.col("o_orderkey")))
+    entity = F.struct(F.when(k != 10, F.concat(F.lit("Q"), "o_orderkey")).alias("id"), F.struct(F.struct(title.alias("title")).alias("enwiki")).alias("sitelinks"), claims.alias("claims"))
+    return records.entities(_t(spark, d, "orders").select(F.to_json(entity).alias("value"))).select("qid", "title", F.explode_outer(F.element_at("claims", F.lit(INSTANCE_OF))).alias("item"))
+
+
+def json_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of orders as entities; an empty or missing one has no row."""
+    title = F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit(CATEGORY_PREFIX), F.lit("Kind "), F.col("o_orderkey")))
+    lines = _t(spark, d, "orders").select(F.to_json(F.struct(F.concat(F.lit("Q"), "o_orderkey").alias("id"), F.struct(F.struct(title.alias("title")).alias("enwiki")).alias("sitelinks"))).alias("value"))
+    return links.titles(records.entities(lines)).unionByName(links.titles(records.entities(lines, require_title=True)))
+
+
+def link_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The sizes of groups in the three joins that resolve links."""
+    found = links.link_metrics(*_world(spark, d))
+    one = lambda name: found[name].withColumn("join", F.lit(name))
+    return one("title_to_page").unionByName(one("page_to_category")).unionByName(one("category_to_parent"))
+
+
+def page_categories(spark: SparkSession, d: str) -> DataFrame:
+    up, pages, _ = _world(spark, d)
+    return links.page_categories(pages, up).select("page_id", F.array_join("categories", "|").alias("categories"))
+
+
+def repeated_scores(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.repeated(_t(spark, d, "lineitem").select("l_partkey"), "l_partkey").select("keys", "rows")
+
+
 def rank_parse(spark: SparkSession, d: str) -> DataFrame:
-    lines = _t(spark, d, "orders").select(F.concat(F.lit("Q"), "o_orderkey", F.lit(","), (F.col("o_custkey") + F.lit(4_721_000_000)).cast("string")).alias("value"))
+    lines = _t(spark, d, "orders").select(F.concat(F.lit("Q"), "o_orderkey", F.lit(","), (F.col("o_custkey") + F.lit(5_000_000_000)).cast("string")).alias("value"))
     return records.ranks(lines.union(spark.createDataFrame([("Entity,QRank",), ("Q1,2,3",), ("X1,2",)], "value string")))
 
 
@@ -231,7 +291,7 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vectors_text(spark: SparkSession, d: str) -> DataFrame:
-    return files.vector_lines(_vectors(spark, d)).filter("pos = 1").select("value")
+    return files.vector_lines(_vectors(spark, d))
 
 
 def vectors_parse(spark: SparkSession, d: str) -> DataFrame:
@@ -241,8 +301,7 @@ def vectors_parse(spark: SparkSession, d: str) -> DataFrame:
 
 def keyed_records(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "nation").select("n_nationkey", "n_name")
-    by_id = files.keyed(rows, "nation", "n_nationkey").select("kind", "key")
-    return by_id.unionByName(files.keyed(rows.select("n_name"), "name").select("kind", "key"))
+    return files.keyed(rows, "nation", "n_nationkey", parent="world").unionByName(files.keyed(rows.select("n_name"), "name", stringify=True))
 
 
 def line_shards(spark: SparkSession, d: str) -> DataFrame:
@@ -270,7 +329,8 @@ def ordered_limit(spark: SparkSession, d: str) -> DataFrame:
 
 _QUERIES = [
     count_children_topn, rekey_join, metrics_distribution, resolve_links, title_counts, split_links, leaf_scores, top_leaves_per_node, node_build, split_ready_pending, category_index_done,
-    category_index_cyclic, category_index_cutoff, category_index_from_links, ancestors_min_depth, ancestors_cyclic, ancestors_cutoff, dump_roundtrip_page, dump_roundtrip_categorylinks, json_claims,
+    category_index_cyclic, category_index_cutoff, category_index_from_links, ancestors_min_depth, ancestors_cyclic, ancestors_cutoff, entity_ancestors, dump_roundtrip_page, dump_roundtrip_categorylinks, json_claims,
+    json_claim_cases, json_titles, link_metrics, page_categories, repeated_scores,
     rank_parse, vectors_text, vectors_parse, keyed_records, line_shards, flatten_union, count_global, entity_parents, ordered_limit,
 ]
 QUERIES = {f.__name__: f for f in _QUERIES}
@@ -337,11 +397,11 @@ ORACLE_SQL = {
         from node n left join (select * from ranked where pos <= 7) r on n.node = r.node""",
     "category_index_cutoff": f"""
         with recursive {_GRAPH}, {_BELOW},
-        kind as (select node, case when node = 'ROOT' then 'pending' when node like 'R%' then 'ready' else 'done' end as state from node)
-        select k.node as node_id, state,
-            cast(least(4, case when k.node = 'ROOT' then 0 else (select count(distinct l.leaf_id) from below b join leaf l on b.low = l.parent where b.node = k.node) end) as integer) as leaves,
-            cast(case when k.node = 'ROOT' then (select count(*) from region) else 0 end as integer) as waits
-        from kind k""",
+        kind as (select node, case when node = 'ROOT' then 'pending' when node like 'R%' then 'ready' else 'done' end as state from node),
+        have as (select node, leaf_id, score from (select distinct b.node, l.leaf_id, l.score from below b join leaf l on b.low = l.parent where b.node <> 'ROOT'))
+        select node as node_id, state, 'node' as kind, 0 as pos, '' as member from kind
+        union all select node, state, 'leaf', cast(pos - 1 as integer), leaf_id from (select *, {_RANK} as pos from have) join kind using (node) where pos <= 4
+        union all select 'ROOT', 'pending', 'waits', cast(row_number() over (order by child) - 1 as integer), child from edge where parent = 'ROOT'""",
     "category_index_from_links": f"""
         with leaf as (select c_custkey as leaf_id, c_nationkey as n, coalesce(cast(floor(max(o_totalprice)) as double), 0.0) as score from customer left join orders on c_custkey = o_custkey group by all),
         have as (select n + {NATION} as node, leaf_id, score from leaf join nation on n = n_nationkey union all select n_regionkey + {REGION}, leaf_id, score from leaf join nation on n = n_nationkey)
@@ -350,16 +410,44 @@ ORACLE_SQL = {
     "ancestors_cyclic": f"""
         with recursive step as (select cast(n_nationkey as bigint) as a, cast((n_nationkey * 7 + 3) % 25 as bigint) as b, case when n_nationkey % 3 = 0 then 1 else 0 end as i, case when n_nationkey % 3 = 0 then 0 else 1 end as s from nation),
         {_walks(30)} select node, ancestor, m.i as instances, m.t - m.i as subclasses from least""",
+    "ancestors_cutoff": f"with recursive {_STEPS}, {_walks(4)} select node, ancestor, m.i as instances, m.t - m.i as subclasses, m.t = 4 as frontier from least",
+    "entity_ancestors": f"""
+        select s_suppkey + {ROOT} as node, s_nationkey + {NATION} as ancestor, 1 as instances, 0 as subclasses from supplier
+        union all select s_suppkey + {ROOT}, n_regionkey + {REGION}, 1, 1 from supplier join nation on s_nationkey = n_nationkey
+        union all select n_nationkey + {NATION}, n_regionkey + {REGION}, 0, 1 from nation
+        union all select r_regionkey + {REGION}, null, null, null from region""",
+    "json_claim_cases": """
+        select o_orderkey as qid, case o_orderkey % 5 when 0 then '' when 1 then null else 'An_order_' || o_orderkey end as title, case when o_orderkey % 11 = 0 then o_custkey end as item
+        from orders where o_orderkey % 11 <> 10""",
+    "json_titles": "select 'Kind_' || o_orderkey as title, true as is_cat, o_orderkey as qid from orders, range(2) where o_orderkey % 3 = 1",
+    "link_metrics": f"""
+        with name as (select c_custkey as id from customer union all select n_nationkey + {NATION} from nation union all select r_regionkey + {REGION} from region),
+        up as (select 'N' || n_nationkey as c from customer join nation on c_nationkey = n_nationkey union all select 'R' || n_regionkey from nation),
+        cat as (select c, count(u.c2) as n from (select 'N' || n_nationkey as c from nation union all select 'R' || r_regionkey from region) left join (select c as c2 from up) u on c = c2 group by c),
+        linked as (select count(*) as n from up)
+        select 'title_to_page' as "join", m as metric, count(*) as keys, count(*) as total, 1 as least, 1 as most, 1.0::double as mean from name, (values ('v_per_key'), ('keys_per_key')) v(m) group by m
+        union all select 'page_to_category', 'v_per_key', count(*), count(*), 1, 1, 1.0::double from name
+        union all select 'page_to_category', 'keys_per_key', count(*), any_value(n), 0, 1, any_value(n) / count(*) from name, linked
+        union all select 'category_to_parent', 'v_per_key', count(*), cast(sum(n) as bigint), min(n), max(n), avg(n) from cat
+        union all select 'category_to_parent', 'keys_per_key', count(*), count(*), 1, 1, 1.0::double from cat""",
+    "page_categories": f"""
+        select c_custkey as page_id, coalesce(n_name, '') as categories from customer left join nation on c_nationkey = n_nationkey
+        union all select n_nationkey + {NATION}, r_name from nation join region on n_regionkey = r_regionkey union all select r_regionkey + {REGION}, '' from region""",
+    "repeated_scores": "select count(*) as keys, cast(coalesce(sum(n), 0) as bigint) as rows from (select count(*) as n from lineitem group by l_partkey having count(*) > 1)",
     "dump_roundtrip_page": "select c_custkey as page_id, c_name as title, cast(c_nationkey % 3 * 7 as integer) as namespace, false as is_redirect from customer where c_custkey % 5 <> 0 and c_nationkey % 3 in (0, 2)",
     "dump_roundtrip_categorylinks": "select c_custkey as page_id, c_mktsegment as category, case when c_custkey % 4 = 1 then 'subcat' else 'page' end as cl_type from customer where c_custkey % 4 <> 0",
     "json_claims": """
         select o_orderkey as qid, 'Order_' || o_orderkey as title, o_orderpriority as label, 2 as sitelinks, pid, item from orders join (
             select l_orderkey, 31 as pid, l_suppkey as item from lineitem where l_suppkey % 2 = 1 union all select l_orderkey, 279, l_partkey from lineitem) on o_orderkey = l_orderkey""",
-    "rank_parse": "select o_orderkey as qid, o_custkey + 4721000000 as qrank from orders",
+    "rank_parse": "select o_orderkey as qid, o_custkey + 5000000000 as qrank from orders",
     "vectors_text": """
-        select (case when vec_id % 2 = 0 then 'ENTITY/' else '' end) || 'word_' || vec_id || ' ' || array_to_string(list_transform(embedding, lambda x: printf('%.4f', x::double)), ' ') as value from embeddings""",
+        select 0 as pos, count(*) || ' ' || max(len(embedding)) as value from embeddings
+        union all select 1, (case when vec_id % 2 = 0 then 'ENTITY/' else '' end) || 'word_' || vec_id || ' ' || array_to_string(list_transform(embedding, lambda x: printf('%.4f', x::double)), ' ') from embeddings""",
     "vectors_parse": "select 'word_' || vec_id as name, vec_id % 2 = 0 as is_entity, len(embedding) as dim, cast(printf('%.4f', embedding[1]::double) as double) as first, cast(printf('%.4f', embedding[-1]::double) as double) as last from embeddings",
-    "keyed_records": """select 'nation' as kind, cast(n_nationkey as varchar) as key from nation union all select 'name', sha1('{"n_name":"' || n_name || '"}') from nation""",
+    "keyed_records": """
+        with n as (select n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' as whole, '{"n_name":"' || n_name || '"}' as name from nation)
+        select 'nation' as kind, cast(n_nationkey as varchar) as key, 'world' as parent, whole as properties from n
+        union all select 'name', sha1(name), null, '{"content":"' || replace(name, '"', '\\"') || '"}' from n""",
     "line_shards": "select cast(floor((upto - size) / 200000) as bigint) as shard, count(*) as lines, cast(sum(size) as bigint) as chars from (select length(text) as size, sum(length(text)) over (order by doc_id) as upto from documents) group by 1",
     "flatten_union": "select event_id, 'click' as part from events where event_type = 'click' union all select event_id, 'even' from events where user_id % 2 = 0 union all select event_id, 'view' from events where event_type = 'view'",
     "count_global": "select count(*) as n from lineitem",

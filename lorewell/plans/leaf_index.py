@@ -11,6 +11,7 @@ from ..functions.lineage import cut
 from ..operators.links import leaves as rank_leaves
 from ..operators.links import resolve_links, split_links
 from ..operators.ranking import leaf_scores, top_leaves
+from ..sinks.files import write_intermediates
 
 
 class Index(NamedTuple):
@@ -27,11 +28,16 @@ class Parts(NamedTuple):
     own: DataFrame
 
 
-def parts(leaves: DataFrame, leaf_links: DataFrame, node_links: DataFrame, n: int) -> Parts:
-    """Only ids with a leaf or a child are nodes. Ids may be of any type."""
+def parts(leaves: DataFrame, leaf_links: DataFrame, node_links: DataFrame, n: int, prune_empty_children: bool = False) -> Parts:
+    """Only ids with a leaf or a child are nodes. Ids may be of any type.
+
+    A child that is no node is waited for for ever, unless such children are pruned.
+    """
     edges = cut(node_links.select("child", "parent").distinct())
     own = cut(top_leaves(leaf_scores(leaf_links, leaves).withColumnRenamed("parent", "node"), n).drop("pos"))
     nodes = cut(own.select("node").union(edges.select("parent")).distinct())
+    if prune_empty_children:
+        edges = cut(edges.join(nodes.select(F.col("node").alias("child")), "child", "left_semi"))
     return Parts(nodes, edges, own)
 
 
@@ -84,16 +90,18 @@ def levels(p: Parts, iters: int, n: int) -> tuple[DataFrame, DataFrame]:
     return heights, ranked.unionByName(rest)
 
 
-def create_index(leaves: DataFrame, leaf_links: DataFrame, node_links: DataFrame, iters: int = 10, n: int = 10_000) -> Index:
+def create_index(leaves: DataFrame, leaf_links: DataFrame, node_links: DataFrame, iters: int = 10, n: int = 10_000, prune_empty_children: bool = False) -> Index:
     """Nodes done (all children done), pending (some never are, as on a cycle) and ready (done with the last pass)."""
-    p = parts(leaves, leaf_links, node_links, n)
+    p = parts(leaves, leaf_links, node_links, n, prune_empty_children)
     heights, ranked = levels(p, iters, n)
     records = cut(_records(p.nodes, p.edges, ranked, heights.filter(F.col("height") < iters)).join(heights.withColumnRenamed("node", "node_id"), "node_id", "left"))
     done = records.filter(F.col("height") < iters).drop("height")
     return Index(done, records.filter("height is null").drop("height"), records.filter(F.col("height") == iters).drop("height"))
 
 
-def create_category_index(links: DataFrame, pages: DataFrame, entities: DataFrame, ranks: DataFrame, iters: int = 10, n: int = 10_000) -> Index:
-    """The index of categories, from dumps."""
+def create_category_index(links: DataFrame, pages: DataFrame, entities: DataFrame, ranks: DataFrame, iters: int = 10, n: int = 10_000, prune_empty_children: bool = False, intermediates: str | None = None) -> Index:
+    """The index of categories, from dumps. intermediates: a folder for the links between nodes and of leaves."""
     node_links, leaf_links = split_links(cut(resolve_links(links, pages, entities)))
-    return create_index(rank_leaves(ranks), leaf_links, node_links, iters, n)
+    if intermediates:
+        write_intermediates(intermediates, node_links=node_links, leaf_links=leaf_links)
+    return create_index(rank_leaves(ranks), leaf_links, node_links, iters, n, prune_empty_children)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
+
 
 def write_records(df: DataFrame, path: str, format: str = "parquet") -> None:
     """Parquet (the default), json, or text with one rendered record a line."""
@@ -16,10 +19,11 @@ def write_records(df: DataFrame, path: str, format: str = "parquet") -> None:
         df.write.mode("overwrite").format(format).save(path)
 
 
-def write_metrics(path: str, metrics: dict[str, DataFrame]) -> str:
-    """One JSON text of all metrics' rows, a few each, written through Spark; also returned."""
+def write_metrics(path: str, metrics: dict[str, DataFrame], counts: dict[str, dict] | None = None) -> str:
+    """One JSON text of all metrics' rows, a few each, and of counts of records, written through Spark; also returned."""
     spark = next(iter(metrics.values())).sparkSession
-    text = json.dumps({name: [json.loads(r) for r in df.toJSON().collect()] for name, df in metrics.items()}, sort_keys=True)
+    rows = {name: [json.loads(r) for r in df.toJSON().collect()] for name, df in metrics.items()}
+    text = json.dumps(rows | ({"records": counts} if counts else {}), sort_keys=True)
     spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
     return text
 
@@ -36,8 +40,6 @@ def sized_shards(lines: DataFrame, order: list[str], chars: int = 500_000_000, b
     """
     spark = lines.sparkSession
     ranged = lines.withColumn("__size", F.length("value").cast("long")).repartitionByRange(min(buckets, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))), *order).withColumn("__range", F.spark_partition_id())
-    from ..functions.lineage import cut
-
     ranged = cut(ranged)  # ranges are sampled; everything below must see the same ones
     sums = ranged.groupBy("__range").agg(F.sum("__size").alias("s"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
@@ -56,35 +58,96 @@ def shard_name(pattern: str, k: int) -> str:
     return pattern.replace("{}", f"{k:05d}")
 
 
-def write_sized_shards(lines: DataFrame, order: list[str], path: str, chars: int = 500_000_000) -> None:
-    sized_shards(lines, order, chars).select("shard", "value").write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").option("compression", "gzip").text(path)
-
+def write_sized_shards(lines: DataFrame, order: list[str], pattern: str, chars: int = 500_000_000, max_lines: int | None = None) -> list[str]:
+    """One gz file a shard, named by ``shard_name``; the files' names. max_lines: of the first ones in the order.
 
-def keyed(df: DataFrame, kind: str, id_field: str | None = None, stringify: bool = False) -> DataFrame:
-    """Records of a key-value store: kind, key (the id, or a SHA-1 of the record's JSON), properties (JSON)."""
+    Lines of a shard meet in one task, which writes them in order.
+    """
+    spark = lines.sparkSession
+    if max_lines is not None:
+        lines = lines.orderBy(*order).limit(max_lines)
+    folder = f"{pattern.rpartition('/')[0] or '.'}/_shards-{uuid.uuid4().hex}"
+    rows = sized_shards(lines, order, chars)
+    rows.repartition("shard").sortWithinPartitions("shard", *order).select("shard", "value").write.partitionBy("shard").option("lineSep", "\n").option("compression", "gzip").text(folder)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for f in fs.globStatus(path(f"{folder}/shard=*/part-*")):
+        name = shard_name(pattern, int(f.getPath().getParent().getName().partition("=")[2]))
+        fs.delete(path(name), False)
+        fs.rename(f.getPath(), path(name))
+        out.append(name)
+    fs.delete(path(folder), True)
+    return sorted(out)
+
+
+def keyed(df: DataFrame, kind: str, id_field: str | None = None, stringify: bool = False, parent: str | None = None) -> DataFrame:
+    """Records of a key-value store: kind, key (the id, or a SHA-1 of the record's JSON), parent (a key's text), properties (JSON)."""
     record = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
     key = F.col(id_field).cast("string") if id_field else F.sha1(record)
-    return df.select(F.lit(kind).alias("kind"), key.alias("key"), (F.to_json(F.struct(record.alias("content"))) if stringify else record).alias("properties"))
+    return df.select(F.lit(kind).alias("kind"), key.alias("key"), F.lit(parent).cast("string").alias("parent"), (F.to_json(F.struct(record.alias("content"))) if stringify else record).alias("properties"))
 
 
-def upsert(spark, path: str, rows: DataFrame) -> None:
-    """Write keyed records into a store; a new record replaces one of its kind and key. The new store is another folder version."""
-    from ..functions.lineage import cut
+# A store is a folder with a folder for each version and a small file that names the current one.
+# A writer that dies leaves the current version as it was.
 
-    newest = rows.groupBy("kind", "key").agg(F.max("properties").alias("properties"))
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        newest.write.parquet(path)
-        return
-    cut(old.join(newest, ["kind", "key"], "left_anti").unionByName(newest)).write.mode("overwrite").parquet(path)
 
+def _current(spark: SparkSession, path: str) -> int:
+    """The number of the current version, 0 for a store that isn't there yet."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/current-*"))
+    return max((int(f.getPath().getName().partition("-")[2]) for f in found or []), default=0)
 
-def query_store(spark, path: str, kind: str, limit: int | None = None) -> DataFrame:
-    rows = spark.read.parquet(path).filter(F.col("kind") == kind)
-    return rows.limit(limit) if limit is not None else rows
+
+def _publish(spark: SparkSession, path: str, rows: DataFrame, version: int) -> None:
+    jvm = spark.sparkContext._jvm
+    to = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    rows.write.mode("overwrite").parquet(f"{path}/version-{version}")
+    fs = to("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.createNewFile(to(f"current-{version}")):
+        raise RuntimeError(f"another writer has made version {version} of {path}")
+    for old in (version - 2,):  # readers of the last version go on
+        fs.delete(to(f"current-{old}"), False)
+        fs.delete(to(f"version-{old}"), True)
+
+
+def upsert(spark: SparkSession, path: str, rows: DataFrame, order: str | None = None) -> None:
+    """Write keyed records into a store; a record replaces one of its kind and key.
+
+    order: a column of rows; of several new records of a key the one with the greatest
+    is kept. Without it there may be one a key only.
+    """
+    if order is None and rows.groupBy("kind", "key").count().filter("count > 1").limit(1).count():
+        raise ValueError("several records of a key: name a column that orders them")
+    columns = ["kind", "key", "parent", "properties"]
+    newest = rows.groupBy("kind", "key").agg(F.max_by(F.struct("parent", "properties"), F.col(order) if order else F.lit(0)).alias("r")).select("kind", "key", "r.*")
+    version = _current(spark, path)
+    if version:
+        newest = spark.read.parquet(f"{path}/version-{version}").join(newest, ["kind", "key"], "left_anti").select(*columns).unionByName(newest.select(*columns))
+    _publish(spark, path, newest.select(*columns), version + 1)
+
+
+def delete_keys(spark: SparkSession, path: str, keys: DataFrame) -> None:
+    """Take records out of a store; keys: kind, key."""
+    version = _current(spark, path)
+    if version:
+        _publish(spark, path, spark.read.parquet(f"{path}/version-{version}").join(keys.select("kind", "key"), ["kind", "key"], "left_anti"), version + 1)
+
+
+def query_store(spark: SparkSession, path: str, kind: str, limit: int | None = None, parent: str | None = None) -> DataFrame:
+    """Records of a kind, and of a parent; with a limit the first ones by key."""
+    rows = spark.read.parquet(f"{path}/version-{_current(spark, path)}").filter(F.col("kind") == kind)
+    if parent is not None:
+        rows = rows.filter(F.col("parent") == parent)
+    return rows.orderBy("key").limit(limit) if limit is not None else rows
+
+
+def write_intermediates(path: str, **tables: DataFrame) -> None:
+    """Tables between the steps of a plan, as text, to look at: a folder each."""
+    for name, df in tables.items():
+        write_records(df, f"{path.rstrip('/')}/{name}", "text")
 
 
 def vector_lines(vectors: DataFrame) -> DataFrame:

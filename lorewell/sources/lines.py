@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: In a header template, any text within a line.
 ANY = "<<???>>"
+#: Files of these kinds can't be read in pieces.
+WHOLE = (".gz", ".zst", ".xz")
 
 
 class NoFilesMatched(ValueError):
@@ -25,12 +28,25 @@ def object_path(path: str) -> tuple[str, str] | None:
     return (m[1], m[2]) if m else None
 
 
-def matching_files(spark: SparkSession, pattern: str) -> list[str]:
-    """The files that a pattern matches, sorted, on any file system that Spark reads (``*`` stays within a folder)."""
-    jvm = spark.sparkContext._jvm
+def matching_files(spark: SparkSession, pattern: str, across_folders: bool | None = None) -> list[str]:
+    """The files that a pattern matches, sorted, on any file system that Spark reads.
+
+    across_folders: ``*`` also matches slashes, as object stores have no folders; the default for gs:// paths.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    names = sorted(f.getPath().toString() for f in found or [] if f.isFile())
+    fs = path.getFileSystem(conf)
+    if across_folders if across_folders is not None else object_path(pattern) is not None:
+        wanted = fs.makeQualified(path).toString()
+        root = jvm.org.apache.hadoop.fs.Path(re.split(r"[*?\[]", wanted, maxsplit=1)[0].rpartition("/")[0] + "/")
+        names, found = [], fs.listFiles(root, True) if fs.exists(root) else None
+        while found is not None and found.hasNext():
+            name = found.next().getPath().toString()
+            if fnmatch.fnmatchcase(name, wanted):
+                names.append(name)
+        names.sort()
+    else:
+        names = sorted(f.getPath().toString() for f in fs.globStatus(path) or [] if f.isFile())
     if not names:
         raise NoFilesMatched(f"no file matches {pattern}")
     return names
@@ -54,8 +70,9 @@ def read_lines(spark: SparkSession, pattern: str, header: list[str] | None = Non
     """Lines as ``value``, split at newlines only; gz and bz2 are unpacked.
 
     The header of the first file, by name, is checked before a plan is made.
-    partitions: deal lines out anew, for packed files, which can't be split.
-    max_lines: of all files together.
+    partitions: deal lines out anew. Without a number, files that can't be read in
+    pieces, and lines after a limit, are dealt to as many tasks as a shuffle has; 0: never.
+    max_lines: of all files together; a number of lines that one task can pass on.
     """
     names = matching_files(spark, pattern)
     text = spark.read.option("lineSep", "\n")
@@ -64,9 +81,11 @@ def read_lines(spark: SparkSession, pattern: str, header: list[str] | None = Non
     lines = text.text(names)
     if max_lines is not None:
         lines = lines.limit(max_lines)
+    if partitions is None and (max_lines is not None or any(n.endswith(WHOLE) for n in names)):
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return lines.repartition(partitions) if partitions else lines
 
 
-def stream_lines(spark: SparkSession, folder: str, parse: Callable[[DataFrame], DataFrame], max_files: int = 100) -> DataFrame:
-    """Records of files as they arrive in a folder: any line parser works on the stream."""
-    return parse(spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files).text(folder))
+def iterate(records: DataFrame) -> Iterator:
+    """Records one by one on the driver, a partition at a time in its memory."""
+    return records.toLocalIterator(prefetchPartitions=True)

@@ -1,4 +1,4 @@
-"""A small world to try queries on, used where no dump is named."""
+"""A small world to try queries on, used where no dump is named: instruments of an orchestra by family."""
 
 from __future__ import annotations
 
@@ -6,29 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 
-# A few planets and animals with their categories.
-_LINKS = [(1, "Animals"), (2, "Planets"), (3, "Planets"), (4, "Animals"), (5, "Things"), (6, "Things")]
-_NAMES = ["Beaver", "Mercury", "Uranus", "Ant", "Animals", "Planets", "Things"]
-_SUBCLASS_OF = {5: [7], 6: [7], 1: [5], 2: [6, 7], 3: [6], 4: [5]}
-_RANKS = {1: 10, 2: 20, 3: 30, 4: 40}
-
-
-def _is_category(k: int) -> bool:
-    return k > 4
+#: Id, name, family (a category), rank (of instruments only).
+WORLD = [
+    (101, "Viola", "Strings", 310),
+    (102, "Cello", "Strings", 845),
+    (103, "Harp", "Strings", 520),
+    (104, "Oboe", "Woodwinds", 275),
+    (105, "Bassoon", "Woodwinds", 190),
+    (106, "Timpani", "Percussion", 160),
+    (201, "Strings", "Instruments", None),
+    (202, "Woodwinds", "Instruments", None),
+    (203, "Percussion", "Instruments", None),
+    (204, "Instruments", None, None),
+]
+_IDS = {name: k for k, name, _, _ in WORLD}
+_FAMILIES = {name for _, name, _, rank in WORLD if rank is None}
 
 
 def links(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(p, c, "page") for p, c in _LINKS], schemas.CATEGORY_LINK)
+    return spark.createDataFrame([(k, family, "subcat" if name in _FAMILIES else "page") for k, name, family, _ in WORLD if family], schemas.CATEGORY_LINK)
 
 
 def pages(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, n, 14 if _is_category(k) else 0, False) for k, n in enumerate(_NAMES, 1)], schemas.PAGE)
+    return spark.createDataFrame([(k, name, schemas.CATEGORY_NAMESPACE if name in _FAMILIES else 0, False) for k, name, _, _ in WORLD], schemas.PAGE)
 
 
 def entities(spark: SparkSession) -> DataFrame:
-    rows = [(k, (schemas.CATEGORY_PREFIX if _is_category(k) else "") + n, None, 0, [], {schemas.SUBCLASS_OF: _SUBCLASS_OF[k]} if k in _SUBCLASS_OF else {}) for k, n in enumerate(_NAMES, 1)]
-    return spark.createDataFrame(rows, schemas.ENTITY)
+    """Instruments are instances of their family, families subclasses of theirs."""
+
+    def row(k: int, name: str, family: str | None) -> tuple:
+        claim = schemas.SUBCLASS_OF if name in _FAMILIES else schemas.INSTANCE_OF
+        return k, (schemas.CATEGORY_PREFIX if name in _FAMILIES else "") + name, name.lower(), 1, [], {claim: [_IDS[family]]} if family else {}
+
+    return spark.createDataFrame([row(k, name, family) for k, name, family, _ in WORLD], schemas.ENTITY)
 
 
 def ranks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(_RANKS.items()), schemas.RANK)
+    return spark.createDataFrame([(k, rank) for k, _, _, rank in WORLD if rank is not None], schemas.RANK)

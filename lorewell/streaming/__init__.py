@@ -1 +1 @@
-"""Streams of the library."""
+"""Streams of records."""

@@ -1,5 +1,7 @@
+"""The leaf index, ancestors and resolved links: brute-force versions on graphs made by seed, and a few cases by hand."""
+
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -20,38 +22,45 @@ def graph(spark, leaves, leaf_links, node_links):
     )
 
 
-SMALL = (
-    [("l0", 5.0), ("l1", 9.0), ("l2", 8.0), ("l3", 2.0)],
-    [("l0", "n0"), ("l1", "n1"), ("l2", "n0"), ("l3", "n1")],
-    [("n0", "n2"), ("n1", "n2"), ("n2", "n3")],
-)
-
-
 def names(row):
     return [x["leaf_id"] for x in row["top_leaves"]]
 
 
+#: Springs feed creeks, creeks feed rivers; the number is the flow.
+SPRINGS = [("alder", 3.5), ("birch", 3.5), ("cedar", 12.0), ("dogwood", 0.25), ("elm", 7.0)]
+FEEDS = [("alder", "mill"), ("birch", "mill"), ("cedar", "mill"), ("dogwood", "stone"), ("elm", "stone"), ("elm", "delta"), ("alder", "mill")]
+FLOWS = [("mill", "delta"), ("stone", "delta"), ("stone", "mill")]
+
+
 def test_nodes(spark):
-    got = index_of(leaf_index.create_nodes(*graph(spark, *SMALL)))
-    assert {k: names(r) for k, r in got.items()} == {"n0": ["l2", "l0"], "n1": ["l1", "l3"], "n2": [], "n3": []}
-    assert got["n2"]["children"] == got["n2"]["unprocessed_children"] == ["n0", "n1"]
-    assert got["n0"]["parents"] == ["n2"]
+    got = index_of(leaf_index.create_nodes(*graph(spark, SPRINGS, FEEDS, FLOWS), n=2))
+    assert {k: names(r) for k, r in got.items()} == {"mill": ["cedar", "alder"], "stone": ["elm", "dogwood"], "delta": ["elm"]}
+    assert {k: r["unprocessed_children"] for k, r in got.items()} == {"mill": ["stone"], "stone": [], "delta": ["mill", "stone"]}
+    assert got["stone"]["parents"] == ["delta", "mill"] and got["delta"]["children"] == ["mill", "stone"]
+    pending, ready = leaf_index.split_ready(leaf_index.create_nodes(*graph(spark, SPRINGS, FEEDS, FLOWS)))
+    assert set(index_of(pending)) == {"mill", "delta"} and set(index_of(ready)) == {"stone"}
 
 
 def test_index(spark):
-    index = leaf_index.create_index(*graph(spark, *SMALL))
+    index = leaf_index.create_index(*graph(spark, SPRINGS, FEEDS, FLOWS))
     got = index_of(index.done)
-    assert names(got["n2"]) == names(got["n3"]) == ["l1", "l2", "l0", "l3"]
+    assert names(got["delta"]) == names(got["mill"]) == ["cedar", "elm", "alder", "birch", "dogwood"]
     assert index.pending.count() == index.ready.count() == 0
 
 
-def test_index_with_a_cycle(spark):
-    leaves = [(f"l{k}", float(k)) for k in range(4)]
-    index = leaf_index.create_index(*graph(spark, leaves, [(f"l{k}", f"n{k}") for k in range(4)], [("n0", "n1"), ("n1", "n2"), ("n2", "n3"), ("n3", "n1")]))
-    assert {k: names(r) for k, r in index_of(index.done).items()} == {"n0": ["l0"]}
+def test_children_that_are_no_nodes(spark):
+    world = graph(spark, SPRINGS, FEEDS, [*FLOWS, ("dry bed", "stone")])
+    assert set(index_of(leaf_index.create_index(*world).pending)) == {"mill", "stone", "delta"}
+    assert set(index_of(leaf_index.create_index(*world, prune_empty_children=True).done)) == {"mill", "stone", "delta"}
+
+
+def test_index_with_a_whirl(spark):
+    """Two creeks that feed each other wait for ever, and so does what lies below them."""
+    index = leaf_index.create_index(*graph(spark, SPRINGS, FEEDS, [("stone", "mill"), ("mill", "eddy"), ("eddy", "mill"), ("eddy", "sea")]))
+    assert {k: names(r) for k, r in index_of(index.done).items()} == {"stone": ["elm", "dogwood"], "delta": ["elm"]}
     pending = index_of(index.pending)
-    assert {k: (names(r), r["unprocessed_children"]) for k, r in pending.items()} == {"n1": (["l1", "l0"], ["n3"]), "n2": (["l2"], ["n1"]), "n3": (["l3"], ["n2"])}
-    assert index.ready.count() == 0
+    assert {k: r["unprocessed_children"] for k, r in pending.items()} == {"mill": ["eddy"], "eddy": ["mill"], "sea": ["eddy"]}
+    assert names(pending["mill"]) == ["cedar", "elm", "alder", "birch", "dogwood"] and names(pending["sea"]) == []
 
 
 def closed_form(leaves, leaf_links, node_links, iters, n):
@@ -107,19 +116,26 @@ def test_index_against_the_closed_form(spark, seed):
 def test_category_index_of_the_samples(spark):
     index = leaf_index.create_category_index(samples.links(spark), samples.pages(spark), samples.entities(spark), samples.ranks(spark))
     got = index_of(index.done)
-    assert {k: [(x["leaf_id"], x["score"]) for x in r["top_leaves"]] for k, r in got.items()} == {5: [(4, 40.0), (1, 10.0)], 6: [(3, 30.0), (2, 20.0)], 7: [(4, 40.0), (3, 30.0), (2, 20.0), (1, 10.0)]}
-    assert got[7]["children"] == [5, 6] and got[5]["parents"] == [7]
-
-
-def test_resolved_links(spark):
-    got = {tuple(r) for r in links.resolve_links(samples.links(spark), samples.pages(spark), samples.entities(spark)).collect()}
-    assert got == {(5, 1, False), (5, 4, False), (6, 2, False), (6, 3, False), (7, 5, True), (7, 6, True)}
+    rank = {k: float(r) for k, _, _, r in samples.WORLD if r}
+    family = {name: k for k, name, _, r in samples.WORLD if r is None}
+    members = defaultdict(list)
+    for k, _, group, r in samples.WORLD:
+        if r:
+            members[family[group]].append(k)
+            members[family["Instruments"]].append(k)
+    assert {k: [(x["leaf_id"], x["score"]) for x in r["top_leaves"]] for k, r in got.items()} == {k: sorted(((m, rank[m]) for m in ms), key=lambda x: -x[1]) for k, ms in members.items()}
+    assert got[204]["children"] == [201, 202, 203] and got[201]["parents"] == [204]
+    resolved = {tuple(r) for r in links.resolve_links(samples.links(spark), samples.pages(spark), samples.entities(spark)).collect()}
+    assert resolved == {(family[group], k, r is None) for k, _, group, r in samples.WORLD if group}
+    assert {r["page_id"]: r["categories"] for r in links.page_categories(samples.pages(spark), samples.links(spark)).collect()} == {k: [group] if group else [] for k, _, group, _ in samples.WORLD}
 
 
 def test_top_parents(spark):
-    claims = [(0, {279: [1, 5]}), (1, {31: [2, 3]}), (2, {31: [3]}), (3, None), (4, {31: [2, 5]}), (5, {31: [2]}), (6, {279: [2]}), *((k, {31: [5]}) for k in (7, 8, 9)), (10, {31: [9]})]
-    got = ranking.top_parents(spark.createDataFrame(claims, "qid long, claims map<int,array<long>>"), 3)
-    assert [tuple(r) for r in got.collect()] == [(5, 5), (4, 2), (2, 3)]
+    rng = random.Random(4)
+    claims = [(k, rng.choice([None, {}, {p: [rng.randint(900, 920) for _ in range(rng.randint(0, 4))] for p in (31, 279, 17)}])) for k in range(80)]
+    count = Counter(x for _, c in claims for p in (31, 279) for x in (c or {}).get(p, []))
+    got = ranking.top_parents(spark.createDataFrame(claims, "qid long, claims map<int,array<long>>"), 6)
+    assert [tuple(r) for r in got.collect()] == sorted(((n, p) for p, n in count.items()), reverse=True)[:6]
 
 
 def gathered(spark, rows, kind="string", **more):
@@ -127,18 +143,40 @@ def gathered(spark, rows, kind="string", **more):
     return {r["node_id"]: {k: tuple(v) for k, v in r["ancestors"].items()} for r in ancestors.gather_ancestors(frame, **more).collect()}
 
 
-def test_ancestors(spark):
-    rows = [("sergey", ["human", "ceo"], []), ("primate", ["taxon"], ["entity"]), ("drosophila", ["taxon"], []), ("ceo", [], ["human"]), ("human", [], ["primate"]), ("taxon", [], ["entity"]), ("entity", [], [])]
-    got = gathered(spark, rows)
-    assert got["sergey"] == {"human": (1, 0), "ceo": (1, 0), "primate": (1, 1), "taxon": (2, 1), "entity": (1, 2)}
-    assert got["ceo"] == {"human": (0, 1), "primate": (0, 2), "taxon": (1, 2), "entity": (0, 3)}
-    assert got["drosophila"] == {"taxon": (1, 0), "entity": (1, 1)} and got["entity"] == {}
+def least_depths(rows):
+    """(instances, subclasses) of the shortest walks, by relaxing until nothing changes."""
+    step = {}
+    for node, above, over in rows:
+        for targets, cost in ((above, (1, 1)), (over, (1, 0))):  # hops, instance hops
+            for t in targets:
+                step[node, t] = min(step.get((node, t), cost), cost)
+    best = dict(step)
+    while True:
+        new = dict(best)
+        for (a, b), (h, i) in best.items():
+            for (c, d), (h2, i2) in step.items():
+                if b == c:
+                    new[a, d] = min(new.get((a, d), (10**6, 0)), (h + h2, i + i2))
+        if new == best:
+            break
+        best = new
+    return {node: {b: (i, h - i) for (a, b), (h, i) in best.items() if a == node} for node, _, _ in rows}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_ancestors_against_relaxation(spark, seed):
+    """Graphs with cycles and with targets that are no nodes."""
+    rng = random.Random(seed)
+    pick = lambda: [rng.randint(0, 15) for _ in range(rng.choice((0, 0, 1, 1, 2)))]
+    rows = [(k, pick(), pick()) for k in range(12)]
+    assert gathered(spark, rows, "long") == least_depths(rows)
 
 
-def test_ancestors_dangling_and_on_a_cycle(spark):
-    assert gathered(spark, [("sergey", ["mystery"], [])]) == {"sergey": {"mystery": (1, 0)}}
-    got = gathered(spark, [(0, [], [1]), (1, [], [2]), (2, [], [0])], "long")
-    assert got[0] == {0: (0, 3), 1: (0, 1), 2: (0, 2)}
+def test_ancestors_by_hand(spark):
+    rows = [("teapot", ["pot"], ["vessel"]), ("pot", [], ["vessel"]), ("vessel", ["object"], [])]
+    got = gathered(spark, rows)
+    assert got["teapot"] == {"pot": (1, 0), "vessel": (0, 1), "object": (1, 1)}
+    assert got["pot"] == {"vessel": (0, 1), "object": (1, 1)} and got["vessel"] == {"object": (1, 0)}
 
 
 def test_ancestors_cut_off(spark):
@@ -147,6 +185,11 @@ def test_ancestors_cut_off(spark):
     assert sorted(got[0]["ancestors"]) == list(range(1, 9)) and got[0]["unprocessed_ancestors"] == [8]
 
 
+def test_repeated(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1.0), ("c", 0.0), ("c", 0.0), ("c", 5.0)], "leaf_id string, score double")
+    assert tuple(ranking.repeated(rows, "leaf_id").first()) == (2, 5)
+
+
 def test_empty_inputs(spark):
     index = leaf_index.create_index(*graph(spark, [], [], []))
     assert index.done.count() == index.pending.count() == index.ready.count() == 0

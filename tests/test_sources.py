@@ -4,8 +4,12 @@ import json
 
 import pytest
 
-from lorewell.sources import headers, lines, records, samples
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from lorewell.sinks import files
+from lorewell.sources import headers, lines, records, samples
+from lorewell.streaming.lines import stream_lines
 
 
 def values(spark, *rows):
@@ -22,6 +26,11 @@ def test_paths(spark, tmp_path):
     assert lines.read_lines(spark, f"{tmp_path}/a-*", max_lines=2).count() == 2
     with pytest.raises(lines.NoFilesMatched):
         lines.read_lines(spark, f"{tmp_path}/b-*")
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/a-4.txt").write_text("4\n")
+    assert len(lines.matching_files(spark, f"{tmp_path}/*a-*")) == 3 and len(lines.matching_files(spark, f"{tmp_path}/*a-*", across_folders=True)) == 4
+    assert lines.read_lines(spark, f"{tmp_path}/a-2*").rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in lines.iterate(lines.read_lines(spark, f"{tmp_path}/a-2*"))) == ["1", "2"]
     assert lines.object_path("gs://b/x/y") == ("b", "x/y") and lines.object_path("/x") is None
 
 
@@ -57,26 +66,29 @@ def claim(q, rank="normal", **snak):
 
 
 def test_entities(spark):
-    dog = {"id": "Q144", "labels": {"en": {"value": "dog"}}, "aliases": {"en": [{"value": "a"}, {"value": "b"}]}, "sitelinks": {"enwiki": {"title": "The Dog"}, "dewiki": {}}, "claims": {"P31": [claim("Q5"), claim("Q6", "deprecated"), claim("Q5")], "P279": [claim("Q7", snaktype="novalue")], "P9": [claim("Q1")], "P8": [{"mainsnak": {"snaktype": "value", "datatype": "string", "datavalue": {"type": "string", "value": "x"}}}]}}
-    read = values(spark, "[", json.dumps(dog) + ",", '{"id": Q234},', '{"id": "P31"}', '{"id": "Q3", "sitelinks": []}', '{"no": 1}', '{"id": "Q345"}', "", "]")
+    oboe = {"id": "Q871", "labels": {"en": {"value": "oboe"}}, "aliases": {"en": [{"value": "a"}, {"value": "b"}]}, "sitelinks": {"enwiki": {"title": "The Oboe"}, "dewiki": {}}, "claims": {"P31": [claim("Q5"), claim("Q6", "deprecated"), claim("Q5")], "P279": [claim("Q7", snaktype="novalue")], "P9": [claim("Q1")], "P8": [{"mainsnak": {"snaktype": "value", "datatype": "string", "datavalue": {"type": "string", "value": "x"}}}]}}
+    read = values(spark, "[", json.dumps(oboe) + ",", '{"id": Q44},', '{"id": "P31"}', '{"id": "Q3", "sitelinks": []}', '{"no": 1}', '{"id": "Q52"}', "", "]")
     got = {r["qid"]: r for r in records.entities(read).collect()}
-    assert set(got) == {144, 345}
-    assert tuple(got[144]) == (144, "The_Dog", "dog", 2, ["a", "b"], {31: [5, 5]})
-    assert tuple(got[345]) == (345, None, None, 0, [], {})
-    assert {r["qid"] for r in records.entities(read, lenient=True).collect()} == {3, 144, 345}
-    assert set(records.entities(read, properties=None).filter("qid = 144").first()["claims"]) == {31, 9}
+    assert set(got) == {871, 52}
+    assert tuple(got[871]) == (871, "The_Oboe", "oboe", 2, ["a", "b"], {31: [5, 5]})
+    assert tuple(got[52]) == (52, None, None, 0, [], {})
+    assert {r["qid"] for r in records.entities(read, lenient=True).collect()} == {3, 871, 52}
+    assert set(records.entities(read, properties=None).filter("qid = 871").first()["claims"]) == {31, 9}
     assert records.entities(read, require_title=True).count() == 1
+    seen = Observation("entities")
+    records.entities(read, counts=seen).collect()
+    assert seen.get == {"records": 5, "malformed": 3}
     with pytest.raises(Exception, match="malformed"):
         records.entities(read, mode="fail").collect()
 
 
 def test_bad_json_lines(spark):
-    assert records.entities(values(spark, "[", '{"id": "Q123"},', '{"id": Q234},', '{"id": "Q345"},', "]")).count() == 2
+    assert records.entities(values(spark, "[", '{"id": "Q9"},', '{"id": Q8},', '{"id": "Q7"},', "]")).count() == 2
 
 
 def test_ranks_and_vectors(spark):
-    got = records.ranks(values(spark, "Entity,QRank", "Q866,4721864130", "Q1", "Q1,2,3"))
-    assert [tuple(r) for r in got.collect()] == [(866, 4721864130)]
+    got = records.ranks(values(spark, "Entity,QRank", "Q12,9876543210", "Q1", "Q1,2,3"))
+    assert [tuple(r) for r in got.collect()] == [(12, 9876543210)]
     got = records.word_vectors(values(spark, "2 3", "the 1.0 -2 3e-1", "ENTITY/A_b 1 2 3", "x 1 y 2"))
     assert [tuple(r) for r in got.collect()] == [("the", False, [1.0, -2.0, 0.3]), ("A_b", True, [1.0, 2.0, 3.0])]
     with pytest.raises(NotImplementedError):
@@ -92,18 +104,24 @@ def test_sinks(spark, tmp_path):
     assert [r[1] for r in sized.groupBy("shard").count().orderBy("shard").collect()] == [10] * 10
     assert files.shard_name("x/y.gz", 7) == "x/y-00007.gz" and files.shard_name("a{}b", 12) == "a00012b"
     store = f"{tmp_path}/kv"
-    files.upsert(spark, store, files.keyed(samples.ranks(spark), "rank", "qid"))
-    files.upsert(spark, store, files.keyed(samples.ranks(spark).selectExpr("qid", "qrank + 1 as qrank").filter("qid = 2"), "rank", "qid"))
-    assert {r["key"]: json.loads(r["properties"])["qrank"] for r in files.query_store(spark, store, "rank").collect()} == {"1": 10, "2": 21, "3": 30, "4": 40}
+    rank = lambda *rows: files.keyed(spark.createDataFrame(rows, "qid long, qrank long"), "rank", "qid", parent="p")
+    read = lambda **more: {r["key"]: json.loads(r["properties"])["qrank"] for r in files.query_store(spark, store, "rank", **more).collect()}
+    files.upsert(spark, store, rank((1, 10), (2, 20), (3, 30)))
+    files.upsert(spark, store, rank((2, 90)).withColumn("at", F.lit(1)).unionByName(rank((2, 21)).withColumn("at", F.lit(2))), order="at")
+    assert read() == {"1": 10, "2": 21, "3": 30} == read(parent="p") and read(limit=1) == {"1": 10} and read(parent="q") == {}
+    with pytest.raises(ValueError):
+        files.upsert(spark, store, rank((2, 90), (2, 91)))
+    files.delete_keys(spark, store, rank((1, 0)).select("kind", "key"))
+    assert read() == {"2": 21, "3": 30}
     assert json.loads(files.write_metrics(f"{tmp_path}/m", {"n": some.groupBy().count()})) == {"n": [{"count": 100}]}
     files.write_records(samples.ranks(spark), f"{tmp_path}/r", "text")
-    assert spark.read.text(f"{tmp_path}/r").count() == 4
+    assert spark.read.text(f"{tmp_path}/r").count() == 6
 
 
 def test_stream_of_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.csv").write_text("Entity,QRank\nQ1,5\nQ2,6\n")
-    stream = lines.stream_lines(spark, f"{tmp_path}/in", records.ranks)
+    stream = stream_lines(spark, f"{tmp_path}/in", records.ranks)
     query = stream.writeStream.format("memory").queryName("ranks_seen").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/c").start()
     query.awaitTermination(60)
     assert spark.table("ranks_seen").count() == 2
