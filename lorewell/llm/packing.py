@@ -13,6 +13,7 @@ range of slots, full pieces included, and sequences are numbered by the first
 of their pieces, so reading them by number follows the mix.
 
 Edge cases. A null text counts as empty and is one piece, the closing id.
+A special string of the vocabulary in a text is its id.
 Repeated rows are documents of their own; null ids are kept. An empty table gives an
 empty result. Extra columns are ignored.
 """
@@ -58,15 +59,25 @@ def byte_letters() -> dict[str, int]:
 
 
 def encoder(vocabulary: str):
-    """A function from text to ids: those that ``tokenizers`` gives for the file, special strings being text."""
+    """A function from text to ids: those that ``tokenizers`` gives for the file, whose special strings are one id each."""
     import tiktoken  # merges by rank, as the file's merge list does, several times faster
 
     letters = byte_letters()
     with open(vocabulary, encoding="utf-8") as f:
         model = json.load(f)
-    special = {x["content"] for x in model.get("added_tokens", [])}
+    added = model.get("added_tokens", [])
+    if any(x.get(k) for x in added for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("special strings that take in what is beside them")
+    special = {x["content"]: x["id"] for x in added}
     ranks = {bytes(letters[c] for c in token): k for token, k in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("vocabulary", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    made = tiktoken.Encoding("vocabulary", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(text: str) -> list[int]:
+        if any(x in text for x in special):
+            return made.encode(text, allowed_special="all")
+        return made.encode_ordinary(text)
+
+    return encode
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:

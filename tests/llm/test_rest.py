@@ -107,15 +107,27 @@ def test_best_two_fit():
     assert [sorted(map([6, 3, 2, 2].__getitem__, b)) for b in packing.best_two_fit([6, 3, 2, 2], 10)] == [[2, 2, 6], [3]]
 
 
+def test_ids_are_those_of_the_file():
+    """Random texts with special strings, odd blanks and characters beyond the first plane."""
+    from tokenizers import Tokenizer
+
+    model, encode = Tokenizer.from_file(registry.vocabulary()), packing.encoder(registry.vocabulary())
+    assert encode("x <|endoftext|> y") == [87, 220, 50256, 331]
+    rng = random.Random(14)
+    bits = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "\t", "\u00a0", "\u200b", "don't", "WE'LL", "x1", "42", "é", "e\u0301", "ß", "漢字", "\U0001f600", "\x00", "\x1f", "\ufffd", "a", "The", "…", "#$%"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) if rng.random() < 0.8 else chr(rng.choice((rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)))) for _ in range(rng.randint(0, 25)))
+        assert encode(text) == model.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_pack(spark):
     from tokenizers import Tokenizer
 
     rng = random.Random(4)
-    texts = [None, "", "a", "x <|endoftext|> y", *(" ".join(rng.choice(["alpha", "beta", "  ", "γ", "12", "don't", "\U0001f600"]) for _ in range(rng.randint(1, 300))) for _ in range(60)), "long " * 900, "zß" * 3000]
+    texts = [None, "", "a", "x <|endoftext|> y", "<|endoftext|><|endoftext|>a<|endoftext|", " <|endoftext|>  b\n", *(" ".join(rng.choice(["alpha", "beta", "  ", "γ", "12", "don't", "\U0001f600"]) for _ in range(rng.randint(1, 300))) for _ in range(60)), "long " * 900, "zß" * 3000]
     rows = [(k, t) for k, t in enumerate(texts)] + [(7, texts[7]), (None, "no id")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     model = Tokenizer.from_file(registry.vocabulary())
-    model.encode_special_tokens = True
     want = defaultdict(int)
     for i, t in rows:
         ids = [*model.encode(t or "", add_special_tokens=False).ids, 0]
