@@ -4,7 +4,10 @@
 symbols, repeated lines and repeated three-word windows. The method proper
 compares zstandard ratios, of the whole text and of its fixed chunks, with
 bands that depend on the length: a ratio above its band means repetitive text,
-one below it means noise that does not compress.
+one below it means noise that does not compress. Chunks cover all of a text: of
+``CHUNK_BYTES`` each, then what is left, which is part of the last chunk if it is
+shorter than ``CHUNK_LEAST``. A text passes if its own ratio is in its band
+and chunks with at most ``CHUNK_SHARE`` of its bytes lie outside theirs.
 
 Edge cases. A null text counts as empty: no words, base_failed true, kept
 false. Every row is judged by itself, so ties, repeated rows and null ids give
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, small_batches, text_blocks, windows
 
-#: Fixed limits of the whole text's ratio: (bytes below, least, most), by length in bytes.
-WHOLE_BANDS = (
+#: Fixed limits of a ratio, of a text or a chunk: (bytes below, least, most), by length in bytes.
+BANDS = (
     (256, 0.70, 2.00),
     (512, 0.85, 2.10),
     (1024, 1.10, 2.20),
@@ -36,10 +39,9 @@ WHOLE_BANDS = (
     (32768, 1.60, 2.60),
     (1 << 62, 1.60, 2.68),
 )
-#: Fixed limits of a chunk's ratio, and the share of chunks that may lie outside.
-CHUNK_BYTES = 4096
-CHUNK_BAND = (1.30, 2.60)
-CHUNK_SHARE = 0.25
+CHUNK_BYTES, CHUNK_LEAST = 4096, 256
+#: Share of a text's bytes that may be in chunks outside their bands.
+CHUNK_SHARE = 0.1
 LEVEL = 3
 
 SCHEMA = (
@@ -48,25 +50,35 @@ SCHEMA = (
 )
 
 
-def whole_band(n: int) -> tuple[float, float]:
-    """The limits for a text of n bytes."""
-    return next((low, high) for below, low, high in WHOLE_BANDS if n < below)
+def band(n: int) -> tuple[float, float]:
+    """The limits for n bytes."""
+    return next((low, high) for below, low, high in BANDS if n < below)
+
+
+def chunks(n: int) -> list[tuple[int, int]]:
+    """Where the chunks of n bytes begin and end."""
+    cuts = list(range(0, n, CHUNK_BYTES))
+    if len(cuts) > 1 and n - cuts[-1] < CHUNK_LEAST:
+        cuts.pop()
+    return list(zip(cuts, [*cuts[1:], n], strict=True))
 
 
 def bands(text: bytes, zip_: zstandard.ZstdCompressor) -> tuple[float, int, int, bool]:
-    """Ratio of the whole text, its chunks, those outside their band, and the verdict."""
+    """Ratio of the whole text, its chunks, those outside their bands, and the verdict."""
     n = len(text)
     if not n:
         return 0.0, 0, 0, False
-    ratio = n / len(zip_.compress(text))
-    low, high = whole_band(n)
-    chunks = out = 0
-    if n >= 2 * CHUNK_BYTES:
-        for at in range(0, n - CHUNK_BYTES + 1, CHUNK_BYTES):  # the remainder is judged with the whole
-            r = CHUNK_BYTES / len(zip_.compress(text[at : at + CHUNK_BYTES]))
-            chunks += 1
-            out += not CHUNK_BAND[0] <= r <= CHUNK_BAND[1]
-    return ratio, chunks, out, low <= ratio <= high and out <= CHUNK_SHARE * chunks
+
+    def judge(part: bytes) -> tuple[float, bool]:
+        ratio = len(part) / len(zip_.compress(part))
+        low, high = band(len(part))
+        return ratio, low <= ratio <= high
+
+    ratio, inside = judge(text)
+    spans = chunks(n)
+    # A single chunk is the text itself.
+    out = [b - a for a, b in spans if not judge(text[a:b])[1]] if len(spans) > 1 else [n] * (not inside)
+    return ratio, len(spans), len(out), inside and sum(out) <= CHUNK_SHARE * n
 
 
 def duplicate_lines(text: str) -> int:
@@ -110,13 +122,13 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text, at = raw[offsets[k] : offsets[k + 1]], words.bounds[k]
                 repeat = repeated_words(tri[at : at + n - 2]) if n > 3 else 0
                 failed = n < 50 or 100 * repeat > 50 * n
-                ratio, chunks, out, inside = bands(text, zip_)
+                ratio, n_chunks, out, inside = bands(text, zip_)
                 rows["n_words"].append(n)
                 rows["n_dup_lines"].append(duplicate_lines(text.decode("utf-8", "replace")))
                 rows["n_repeat_words"].append(repeat)
                 rows["base_failed"].append(failed)
                 rows["whole_ratio"].append(ratio)
-                rows["n_chunks"].append(chunks)
+                rows["n_chunks"].append(n_chunks)
                 rows["n_chunks_out"].append(out)
                 rows["kept"].append(inside and not failed)
             rows["word_chars"] += np.diff(chars).tolist()

@@ -58,6 +58,44 @@ def test_compression_bands(spark):
     assert kept.columns == ["doc_id", "text", "mark", "kept"] and 0 in {r[0] for r in kept.collect()}
 
 
+def test_verdicts_against_a_plain_version(spark):
+    """Every byte counts: noise at the end, in the middle, in tails of any length; nulls, repeated rows and null ids."""
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-"
+    noise = lambda n: " ".join("".join(rng.choice(letters) for _ in range(30)) for _ in range(n // 31 + 1))[:n]
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n // 4))[:n]
+    same = lambda n: ("the very same row " * n)[:n]
+    texts = [None, *ODD, noise(6000)]
+    for n in (300, 3000, 4096, 4097, 4351, 4352, 5000, 8191, 8192, 9000, 30_000, 100_000):
+        texts += [prose(n), prose(n - n // 4) + noise(n // 4), prose(n // 2) + same(n // 4) + prose(n // 4), prose(n - min(n // 2, 900)) + noise(min(n // 2, 900))]
+    texts += [prose(100_000) + noise(24_000), prose(100_000) + noise(5_000), prose(4096) + same(4000)]
+    zip_ = quality_rules.zstandard.ZstdCompressor(level=3)
+
+    def fits(raw):
+        low, high = [x[1:] for x in quality_rules.BANDS if len(raw) < x[0]][0]
+        return low <= len(raw) / len(zip_.compress(raw)) <= high
+
+    def plain(text):
+        raw = (text or "").encode()
+        if not raw or not fits(raw):
+            return False
+        whole, rest = divmod(len(raw), 4096)
+        parts = [raw[4096 * k : 4096 * k + 4096] for k in range(whole)] + ([raw[4096 * whole :]] if rest else [])
+        if len(parts) > 1 and len(parts[-1]) < 256:
+            parts[-2:] = [parts[-2] + parts[-1]]
+        assert b"".join(parts) == raw
+        return sum(len(p) for p in parts if not fits(p)) <= 0.1 * len(raw)
+
+    rows = quality_rules.quality_rules(docs(spark, [*texts, texts[20], texts[20]], [*range(len(texts)), 20, None])).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        assert r["kept"] == (not r["base_failed"] and plain(texts[20 if r["doc_id"] is None else r["doc_id"]]))
+    verdicts = {r["doc_id"]: r["kept"] for r in rows}
+    end = len(texts)
+    assert [verdicts[k] for k in (end - 3, end - 2, end - 1)] == [False, True, False] and 5 < sum(verdicts.values()) < end - 10
+
+
 def shingles(text):
     w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words_of(text)]
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
