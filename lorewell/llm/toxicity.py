@@ -8,8 +8,9 @@ along the strongest residual correlations. Its posterior labels train a
 logistic regression on counts and densities, which then scores every text.
 
 Fitting uses at most ``SAMPLE_TOXIC + SAMPLE_CLEAN`` labelled rows, those with the
-smallest hashes of their id, and keeps at most ``ENTRIES`` lexicon entries. All
-texts are scored whole.
+smallest hashes of their id; every word and beginning of theirs that passes the test
+becomes an entry. Mined entries vote in groups of alike trust: by how purely
+toxic their documents are, and whether they are many. All texts are scored whole.
 
 Edge cases. A null or empty text has no hits and gets the score of that. Labels
 that are null, or of ids without a document, are ignored; of several labels of
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, small_batches
 
-#: Bounds of the fit: labelled rows of either kind, and lexicon entries.
-SAMPLE_TOXIC, SAMPLE_CLEAN, ENTRIES = 4_000, 8_000, 4_000
+#: Bounds of the fit: labelled rows of either kind.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 4_000, 8_000
 #: An entry is mined if its documents are toxic so often that chance explains it with at most this probability.
 CHANCE, LEAST_DOCS = 1e-4, 4
 PREFIXES = (4, 5, 6)
@@ -48,8 +49,11 @@ LEXICONS = {
 ADDRESS = re.compile(r"\b(?:you|your|du|dein|ihr|tu|vous|toi|usted|eres|tú)\b")
 WORDS = re.compile(r"\w+")
 
+#: Of mined entries: the least share of toxic documents of a grade, and the documents from which an entry is frequent.
+GRADES = {"pure": 1.0, "mostly": 0.95, "likely": 0.8}
+FREQUENT = 16
 #: Groups of entries; each is a voter and a feature.
-GROUPS = (*(f"fixed_{k}" for k in LEXICONS), *(f"word_{k}" for k in range(4)), *(f"start_{k}" for k in PREFIXES))
+GROUPS = (*(f"fixed_{k}" for k in LEXICONS), *(f"{kind}_{grade}_{often}" for kind in ("word", "start") for grade in GRADES for often in ("often", "seldom")))
 VOTERS = (*GROUPS, "dense", "several", "address", "shouting")
 
 
@@ -244,8 +248,14 @@ def _measure(entries: list[tuple[str, bool, str]]):
     return run
 
 
-def mined_entries(sample: DataFrame, n_toxic: int, n_clean: int, entries: int = ENTRIES) -> list[tuple[str, bool, str]]:
-    """The most telling words and beginnings of the sample (toxic, text): (text, whole, group)."""
+def group_of(whole: bool, toxic: int, clean: int) -> str:
+    """The group of a mined entry, by the numbers of toxic and clean documents that have it."""
+    share = toxic / (toxic + clean)
+    return f"{'word' if whole else 'start'}_{next(k for k, least in GRADES.items() if share >= least)}_{'often' if toxic >= FREQUENT else 'seldom'}"
+
+
+def mined_entries(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, bool, str]]:
+    """The telling words and beginnings of the sample (toxic, text): (text, whole, group)."""
     if not n_toxic or not n_clean:
         return []
     counts = sample.mapInArrow(_mine, "entry string, whole boolean, toxic int, n long").groupBy("entry", "whole").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
@@ -254,16 +264,9 @@ def mined_entries(sample: DataFrame, n_toxic: int, n_clean: int, entries: int =
     share = F.col("t") / (F.col("t") + F.col("c"))
     rest = F.when(F.col("c") > 0, F.col("c") * F.log((1 - share) / (1 - rate))).otherwise(F.lit(0.0))
     evidence = F.col("t") * F.log(share / rate) + rest
-    best = counts.filter((F.col("t") >= LEAST_DOCS) & (share >= max(0.8, rate))).withColumn("evidence", evidence).filter(F.col("evidence") >= -math.log(CHANCE))
-    rows = best.orderBy(F.col("evidence").desc(), "entry", "whole").limit(entries).collect()
+    best = counts.filter((F.col("t") >= LEAST_DOCS) & (share >= max(min(GRADES.values()), rate))).filter(evidence >= -math.log(CHANCE))
     fixed = fixed_entries()
-    out = []
-    for r in rows:
-        if r["whole"] and (r["entry"], True) not in fixed:
-            out.append((r["entry"], True, f"word_{sum(map(ord, r['entry'])) % 4}"))
-        elif not r["whole"]:
-            out.append((r["entry"], False, f"start_{len(r['entry'])}"))
-    return out
+    return [(r["entry"], r["whole"], group_of(r["whole"], r["t"], r["c"])) for r in best.orderBy("entry", "whole").collect() if (r["entry"], r["whole"]) not in fixed]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[tuple[str, bool, str]], np.ndarray]:

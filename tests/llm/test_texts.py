@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lorewell.llm import near_dedup, quality_rules, toxicity
@@ -223,3 +224,44 @@ def test_toxicity_without_labels(spark, toxic_world):
     got = toxicity.toxicity(spark.createDataFrame([(1, "you idiot and scum"), (2, "a fine day")], "doc_id long, text string"), none)
     assert {r["doc_id"]: r["predicted"] for r in got.collect()} == {1: 1, 2: 0}
     assert toxicity.toxicity(spark.createDataFrame([], "doc_id long, text string"), none).count() == 0
+
+
+def test_toxicity_of_odd_rows(spark, toxic_world):
+    """Null ids, repeated rows and clashing columns; a hit counts wherever it is in a text."""
+    rows, labels = toxic_world
+    far = made(random.Random(15), 30_000) + " you idiot, scum, scum, idiot"
+    more = [(None, "you idiot and scum"), (None, None), (3, rows[3][1]), (3, rows[3][1]), (9000, far)]
+    frame = spark.createDataFrame([(*r, 5.0, 1, 1) for r in rows + more], "doc_id long, text string, score double, toxic int, held_out int")
+    known = spark.createDataFrame([(*x, "z") for x in [*labels, *labels[:50], (None, 1)]], "doc_id long, toxic int, text string")
+    got = toxicity.toxicity(frame, known)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    out = got.collect()
+    assert len(out) == len(rows) + len(more)
+    assert len({r["score"] for r in out if r["doc_id"] == 3}) == 1
+    assert sorted((r["held_out"], r["predicted"]) for r in out if r["doc_id"] is None) == [(False, 0), (False, 1)]
+    assert next(r["predicted"] for r in out if r["doc_id"] == 9000) == 1
+
+
+def test_hits_against_a_plain_search():
+    rng = random.Random(16)
+    entries = [("bad", True, "fixed_en"), ("bad", False, "start_pure_often"), ("badly", True, "fixed_de"), ("sch", False, "start_likely_seldom"), ("é", False, "word_pure_often")]
+    matcher = toxicity.Matcher(entries)
+    for _ in range(400):
+        text = "".join(rng.choice(["bad", "badly", "sch", "é", " ", "_", "1", "Bad", "!", "you "]) for _ in range(rng.randint(0, 20)))
+        row = matcher.row(text)
+        for group in toxicity.GROUPS:
+            want = sum(len(re.findall(rf"(?<!\w)(?={re.escape(e)}{r'(?!\w)' if whole else ''})", text.lower())) for e, whole, g in entries if g == group)
+            assert row[toxicity.GROUPS.index(group)] == want, (text, group)
+
+
+def test_label_model_against_bayes():
+    """Posteriors fitted without labels are close to those of the model that made the votes."""
+    rng = np.random.default_rng(17)
+    size, lexicons, voters = 20_000, len(toxicity.GROUPS), len(toxicity.VOTERS)
+    truth = rng.random(size) < 0.2
+    hit, miss = rng.uniform(0.4, 0.9, voters), rng.uniform(0.005, 0.05, voters)
+    v = (rng.random((size, voters)) < np.where(truth[:, None], hit, miss)).astype(np.int8)
+    v[:, 1] = np.where(rng.random(size) < 0.9, v[:, 0], v[:, 1])  # a voter that copies another
+    patterns, at, n = np.unique(v, axis=0, return_inverse=True, return_counts=True)
+    got = toxicity.posterior(patterns, n)[at.ravel()]
+    assert voters > lexicons and ((got > 0.5) == truth).mean() > 0.995
