@@ -1,13 +1,14 @@
 """HTML extraction: a tree-structured graphical model over DOM nodes.
 
 A page becomes a tree of its block elements (and of inline ones with attributes);
-scripts, styles, form controls, comments and markup are no part of it. Each
+scripts, styles, form controls, comments and markup are no part of it;
+formulas and the texts inside media elements are. Each
 node is content or not. Its own features (tag, words of its attributes, text
 length, link density, a few telling words) give a unary potential, each parent and child
 share a pairwise one. Sum-product messages, upward then downward, give exact
 marginals; text whose nearest node is content with a marginal of one half or more is kept.
 
-The potentials are trained by maximum pseudo-likelihood on labelled pages.
+The potentials are trained by maximum likelihood on labelled pages.
 ``labelled_pages`` makes such pages by rule, of many layouts with known labels;
 pages labelled by hand can be added.
 
@@ -38,11 +39,19 @@ from .common import small_batches
 
 # Fixed lists: names of elements by the role they play in parsing.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
-DROPPED = frozenset("script style textarea title noscript iframe xmp noembed noframes template head svg math canvas select button object audio video map".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var output picture".split())
+#: No tags are read inside these; all but the last have no text of the page.
+RAW = frozenset("script style textarea title noscript iframe noembed noframes template xmp".split())
+#: Their texts are no part of the page: what a browser needs, and controls of forms.
+DROPPED = frozenset("head select button datalist".split())
+#: What may stand in a head; any other element, or text, begins the body.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
+#: Elements that begin and end blocks; all others, unknown ones too, stand within a line.
+BLOCKS = frozenset(
+    "address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup legend li listing main menu nav ol optgroup option "
+    "p plaintext pre search section summary table tbody td tfoot th thead tr ul xmp".split()
+)
 #: A start tag of the key's group ends an open element of the value, up to a boundary.
-ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul xmp".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th"}, "tfoot": {"tr", "td", "th", "tbody"}}
 BOUNDARY = frozenset("ul ol dl table html body div article section main aside nav header footer form".split())
 
@@ -63,7 +72,8 @@ AGAINST = (
 WORD_AT = {w: k for k, w in enumerate([*FOR, *AGAINST])}
 TAGS = "article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th tbody thead caption blockquote pre figure figcaption nav header footer aside form fieldset address details summary dialog menu body html span a other".split()
 TAG_AT = {t: k for k, t in enumerate(TAGS)}
-#: Telling words of a short block.
+#: Telling words, and how many words of a node's own text one of them may speak for.
+SIGN_WORDS = 60
 SIGNS = re.compile(r"©|\bcopyright\b|\bcookies?\b|\ball rights reserved\b|\bnewsletter\b|\bsubscribe\b|\bsponsored\b|\badvertisement\b|\blog ?in\b|\bsign up\b", re.IGNORECASE)
 LENGTHS, LINKS = (1, 5, 15, 50), (0.01, 0.35, 0.75)
 N_FEATURES = len(TAGS) + len(WORD_AT) + 3 + len(LENGTHS) + 1 + len(LINKS) + 1 + 3
@@ -80,14 +90,14 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # names and nodes of open elements
-        dropped, links, at, raw = 0, 0, 0, None
-        drop_stack: list[str] = []
+        links, at, raw = 0, 0, None
+        dropped: list[str] = []  # names of open elements from a dropped one on
         runs = self.runs
 
         def pop(k: int) -> None:
             while len(stack) > k:
                 name, node = stack.pop()
-                if name not in INLINE:
+                if name in BLOCKS:
                     runs.append((node, None, False))
 
         def close(names: set[str] | frozenset[str], stop: frozenset[str]) -> None:
@@ -101,9 +111,13 @@ class Page:
         while True:
             if raw is not None:
                 m = re.compile(rf"</{re.escape(raw)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
+                if raw == "xmp" and not dropped:
+                    runs += [(stack[-1][1], None, False), (stack[-1][1], source[at : m.start() if m else len(source)], False), (stack[-1][1], None, False)]
                 at, raw = (m.end() if m else len(source)), None
             m = TOKEN.search(source, at)
             text = source[at : m.start() if m else len(source)]
+            if dropped == ["head"] and text.strip():
+                dropped = []
             if text and not dropped:
                 runs.append((stack[-1][1], html.unescape(text) if "&" in text else text, links > 0))
             if m is None:
@@ -115,22 +129,25 @@ class Page:
             name = name.lower()
             if m["end"]:
                 if dropped:
-                    if name in drop_stack:
-                        while drop_stack.pop() != name:
+                    if name in dropped:
+                        while dropped.pop() != name:
                             pass
-                        dropped = len(drop_stack)
-                elif name == "a":
+                        continue
+                    if name not in BLOCKS or all(name != open_ for open_, _ in stack):
+                        continue
+                    dropped = []  # what is around it ends, so it does
+                if name == "a":
                     links = max(0, links - 1)
                     if stack[-1][0] == "a":
                         pop(len(stack) - 1)
-                elif name in INLINE:
+                elif name not in BLOCKS:
                     for k in range(len(stack) - 1, 0, -1):
                         if stack[k][0] == name:
                             pop(k)
                             break
-                        if stack[k][0] not in INLINE:
+                        if stack[k][0] in BLOCKS:
                             break
-                elif name not in ("html", "body"):
+                elif name != "body":
                     for k in range(len(stack) - 1, 0, -1):
                         if stack[k][0] == name:
                             pop(k)
@@ -142,6 +159,8 @@ class Page:
                 continue
             attrs = m["attrs"] or ""
             closed = attrs.rstrip().endswith("/")
+            if dropped and (dropped[0] == "head" and name not in IN_HEAD or dropped[0] == "select" and name in ("select", "input", "textarea") or dropped[0] == "button" and name == "button"):
+                dropped = []
             if name == "br":
                 if not dropped:
                     runs.append((stack[-1][1], " ", False))
@@ -151,22 +170,20 @@ class Page:
                     close({"p"}, BOUNDARY)
                 continue
             if name in RAW:
-                raw = name if not (closed and name in ("iframe", "template")) else None
+                if not (closed and name in ("iframe", "template")):
+                    raw = name
+                if name == "xmp" and not dropped:
+                    close({"p"}, BOUNDARY)
                 continue
             if dropped or name in DROPPED:
-                if name == "body":  # the head was never closed
-                    drop_stack, dropped = [], 0
-                elif not closed:
-                    drop_stack.append(name)
-                    dropped = len(drop_stack)
-                    continue
-                else:
-                    continue
-            if name in ("html",):
+                if not closed:
+                    dropped.append(name)
+                continue
+            if name == "html":
                 continue
             if name == "a":
                 links += 1
-            if name in INLINE:
+            if name not in BLOCKS:
                 if attrs.strip() and ("class" in attrs or "id" in attrs or "role" in attrs or "hidden" in attrs) and not closed and name != "a":
                     stack.append((name, self._node(name, attrs, stack[-1][1])))
                 continue
@@ -190,14 +207,14 @@ class Page:
     def features(self) -> list[list[int]]:
         """The numbers of the features that each node has."""
         n = len(self.tags)
-        size, linked, own = [0] * n, [0] * n, [""] * n
+        size, linked, signs, own = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text, link in self.runs:
             if text:
                 k = len(text.split())
                 size[node] += k
+                own[node] += k
                 linked[node] += k * link
-                if len(own[node]) < 400:
-                    own[node] += text  # a sign counts in short blocks only
+                signs[node] += len(SIGNS.findall(text))
         for k in range(n - 1, 0, -1):
             size[self.parents[k]] += size[k]
             linked[self.parents[k]] += linked[k]
@@ -226,7 +243,7 @@ class Page:
             row.append(rest + 3 + sum(size[k] >= x for x in LENGTHS))
             share = linked[k] / size[k] if size[k] else 0.0
             row.append(rest + 4 + len(LENGTHS) + sum(share >= x for x in LINKS))
-            if own[k] and len(own[k]) < 400 and SIGNS.search(own[k]):
+            if SIGN_WORDS * signs[k] > own[k]:
                 row.append(rest + 5 + len(LENGTHS) + len(LINKS))
             row.append(rest + 6 + len(LENGTHS) + len(LINKS) + (k == 0))
             out.append(row)

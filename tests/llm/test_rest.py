@@ -6,6 +6,8 @@ import math
 import random
 import zlib
 from collections import defaultdict
+from html.parser import HTMLParser
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -195,7 +197,7 @@ def test_layouts(spark):
 # -------------------------------------------------------------------------- pages
 
 
-def test_pages_of_layouts_not_trained_on():
+def test_made_pages_of_another_seed():
     model = html_extract.default_model()
     right = 0
     pages = html_extract.labelled_pages(120, seed=123)
@@ -205,6 +207,107 @@ def test_pages_of_layouts_not_trained_on():
     assert right >= 0.9 * len(pages)
 
 
+#: Pages written by hand, with their main texts.
+BY_HAND = {
+    "blog": (
+        """<html><head><title>Ferry notes</title><link rel=stylesheet href=a.css></head><body class="single post-template">
+<header class="site-header"><a href="/">Ferry notes</a><p>Notes from small boats</p></header>
+<nav class="main-navigation"><ul><li><a href="/about">About</a></li><li><a href="/archive">Archive</a></li></ul></nav>
+<div id="page"><div id="primary"><main id="main"><article class="post hentry">
+<h1 class="entry-title">Crossing at dawn</h1>
+<div class="entry-content"><p>The first boat leaves before the light does, and the pier smells of rope and diesel.</p>
+<p>By the time the far shore shows, the crew has finished its coffee &mdash; <em>twice</em>.</p>
+<ul><li>Bring a warm coat for the deck.</li><li>Sit on the left side of the boat.</li></ul></div></article>
+<div id="comments" class="comments-area"><h2>Two replies</h2><ol class="comment-list"><li class="comment"><p>I took this boat last year and liked it very much.</p></li></ol></div></main></div>
+<aside class="widget-area sidebar"><h3>Recent posts</h3><ul><li><a href="/1">Fog on the river</a></li><li><a href="/2">The old lock</a></li></ul></aside></div>
+<footer class="site-footer"><p>&copy; Ferry notes. All rights reserved.</p></footer></body></html>""",
+        "Crossing at dawn\nThe first boat leaves before the light does, and the pier smells of rope and diesel.\nBy the time the far shore shows, the crew has finished its coffee — twice.\nBring a warm coat for the deck.\nSit on the left side of the boat.",
+    ),
+    "no head end, formulas and media": (
+        """<!doctype html><head><title>Pendulum</title><meta name=x content=y>
+<nav><a href="/a">Home</a> <a href="/b">Physics</a></nav>
+<article><h1>The pendulum</h1><p>Its period is <math><mi>T</mi><mo>=</mo><mn>2</mn><mi>&pi;</mi></math> times the root of the length over gravity, for small swings.
+<p>A film shows it: <video src=p.mp4>a bob on a string swings to and fro</video> for a minute or so.
+<object data=d.pdf>The measured lengths and periods are in the table that comes with the film.</object>
+<button type=button>Play the film again
+</article><footer>Copyright by the school</footer>""",
+        "The pendulum\nIts period is T=2π times the root of the length over gravity, for small swings.\nA film shows it: a bob on a string swings to and fro for a minute or so. The measured lengths and periods are in the table that comes with the film.",
+    ),
+    "newspaper": (
+        """<html lang=en><body><div class="masthead"><h2>The Harbour Post</h2></div><div class="cookie-consent"><p>We use cookies to improve the paper. Accept all cookies or manage settings.</p><button>Accept</button></div>
+<div class="wrapper"><div class="story-body"><h1>Bridge opens after long repairs</h1><p class="lead">The old swing bridge opened to traffic on Monday after eleven months of repairs.</p>
+<div class="advertisement"><p>Buy new tyres today and save on the second pair.</p></div>
+<p>Engineers replaced the bearings and most of the deck, and the paint will follow in spring.</p>
+<blockquote><p>We have waited for this day since last winter, said the bridge keeper.</p></blockquote></div>
+<div class="related"><h3>More on this</h3><ul><li><a href="/x">Ferry fares rise</a></li><li><a href="/y">Harbour plan</a></li></ul></div></div>
+<form action="/newsletter" class="newsletter"><label>Your address</label><input name=e><p>Subscribe to our newsletter.</p></form>
+<div class="footer">Terms <a href="/t">Privacy</a></div></body></html>""",
+        "Bridge opens after long repairs\nThe old swing bridge opened to traffic on Monday after eleven months of repairs.\nEngineers replaced the bearings and most of the deck, and the paint will follow in spring.\nWe have waited for this day since last winter, said the bridge keeper.",
+    ),
+    "manual": (
+        """<html><body><div class="sidebar toc"><ul><li><a href="#a">Install</a><li><a href="#b">Use</a><li><a href="#c">Limits</a></ul></div>
+<main role="main"><section class="content"><h1>Using the tool</h1><p>Run the tool in the folder that holds the project, and give it the name of a target.</p><pre>tool build   all</pre>
+<h2>Limits</h2><table><tr><td>files</td><td>one million</td></tr><tr><td>depth</td><td>forty folders</td></tr></table><p>Deeper trees are read too, but not watched for changes.</p></section></main>
+<div class="pagination"><a href="/p">Previous</a> <a href="/n">Next</a></div></body></html>""",
+        "Using the tool\nRun the tool in the folder that holds the project, and give it the name of a target.\ntool build all\nLimits\nfiles\none million\ndepth\nforty folders\nDeeper trees are read too, but not watched for changes.",
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def page_model():
+    return html_extract.default_model()
+
+
+@pytest.mark.parametrize("name", BY_HAND)
+def test_pages_by_hand(page_model, name):
+    source, want = BY_HAND[name]
+    assert html_extract.main_texts([source], page_model) == [want]
+
+
+class Article(HTMLParser):
+    """The blocks of a page's article, read plainly."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [[]]
+        self.feed(source)
+        self.close()
+        self.text = "\n".join(t for t in (" ".join("".join(b).split()) for b in self.blocks) if t)
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag == "br":
+            self.blocks[-1].append(" " * (self.inside > 0))
+        elif tag not in ("a", "b", "i", "em", "span"):
+            self.blocks.append([])
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag not in ("a", "b", "i", "em", "span"):
+            self.blocks.append([])
+
+    def handle_data(self, data):
+        self.blocks[-1].append(data if self.inside else "")
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no tables here")
+def test_given_pages_against_a_plain_reading(spark):
+    """All of these pages have an article and nothing in it that doesn't belong."""
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    got = {r["page_id"]: r["text"] for r in registry.op5_html_extraction(spark, "/root/testdata/sf0.001").collect()}
+    assert got == {k: Article(source or "").text for k, source in pages.items()}
+
+
+def test_dropped_elements_end_with_what_is_around_them():
+    texts = lambda source: html_extract.Page(source).blocks([True] * 99)
+    assert texts("<head><title>t</title><p>a<p>b") == ["a", "b"] and texts("<head>a<p>b") == ["a", "b"]
+    assert texts("<div><button>x</div><p>a") == ["a"] and texts("<div><select><option>x</div>a") == ["a"]
+    assert texts("<p>a<button>x<b>y</b></button>b") == ["ab"] and texts("<select><option>x<input>a") == ["a"]
+    assert texts("<p>a <svg><title>i</title><text>s</text></svg> b<xmp><i>c</i></xmp>d") == ["a s b", "<i>c</i>", "d"]
+    assert texts("<x-box>a<x-y>b</x-y></x-box><p>c") == ["ab", "c"]
+
+
 def test_messages_are_exact():
     page = html_extract.Page("<body><div class=x><p>a b</p><p>c<a href=1>d</a></p></div><nav><ul><li>e</ul></nav>")
     rng = np.random.default_rng(5)
@@ -225,6 +328,17 @@ def test_messages_are_exact():
     assert np.allclose(got[:n], on / total)
 
 
+def test_extraction_of_odd_rows(spark):
+    """Clashing columns, repeated rows, null ids, a very long block."""
+    long = "<article><h1>Long</h1><p>" + "many words in one block and " * 20_000 + "&amp; an end.</p></article><footer>copyright</footer>"
+    rows = [(1, None, long, "x", 5), (1, None, long, "x", 5), (None, "u", "<article><p>Some words of an article that has no id.</p></article>", "y", 6)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int"))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    texts = sorted(r["text"] for r in got.collect())
+    assert texts == ["Long\n" + "many words in one block and " * 20_000 + "& an end."] * 2 + ["Some words of an article that has no id."]
+    assert html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int").limit(0)).count() == 0
+
+
 def test_extraction(spark):
     article = "<article><h1>A title &amp; more</h1><p><b>First words of a page here.<br><p>Second&nbsp;paragraph   with\n many &lt;odd&gt; words in it, <i>and</i> so on.</p></article>"
     source = f"<!DOCTYPE html><html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=/>Home</a></li><li><a href=/x>News</a></li></ul></nav><!-- ad --><div class='ad'>Buy this now please.</div>{article}<div class=comments><p>What a nice page it is.</p></div><footer>&copy; someone</footer>"
