@@ -1,10 +1,13 @@
 r"""Chat formatting: schema fingerprints pick the mapping, a template marks turns.
 
-``fingerprint`` hashes the nested field paths of a layout. A registry of
-declarative mappings, keyed by such hashes, turns each known layout (prompt and
-completion, instruction with input, arrays of messages in several spellings,
-one row a turn) into canonical turns (role, text). ``json_turns`` does so row by
-row for JSON records of mixed layouts, ``table_turns`` for a typed table.
+A row's fingerprint is a hash of the nested paths of the fields it has, as far as
+some layout knows them. A registry of declarative mappings, keyed by such
+hashes, turns each known layout (prompt and completion, instruction with input,
+arrays of messages in several spellings, one row a turn) into canonical turns
+(role, text). Layouts have optional fields; each choice of them has a hash of its
+own in the registry. A row whose hash isn't there takes the first layout all of
+whose required fields are there, the row's own or columns of the table. ``turn_rows``
+does so for typed tables, also ones that unite several layouts, ``json_turns`` for JSON records.
 
 The template writes every turn as ``<|turn|>role<|text|>text<|end|>``. Inside
 roles and texts each backslash is doubled, and a single backslash breaks each
@@ -15,25 +18,31 @@ points of the output.
 
 Edge cases. A null text or role counts as empty. Turns are ordered by turn,
 then role, then text, null turns first; repeated rows are turns of their own.
-Rows with a null conv_id form one conversation with a null id. A record whose
-layout is unknown gives null turns and keeps its fingerprint. An empty table gives an
+Rows of one turn with a null conv_id form one conversation with a null id; a record of a
+whole conversation is one by itself, whatever its id. A record whose
+layout is unknown gives null turns and a null text, and keeps its fingerprint; a table
+that no layout fits is an error. An empty table gives an
 empty result. Extra columns are ignored.
 
 A conversation becomes one string, so its rows do meet in one row of the
-result; escaping and rendering happen before that, row by row.
+result; escaping and rendering happen before that, row by row, and places come
+from running sums, so the work grows with the length and not with its square.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import chain, combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Fixed list: control strings of this template and of common others.
 CONTROLS = r"<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|\[/?SYSTEM_PROMPT\]|<start_of_turn>|<end_of_turn>|<unk>|<pad>|<bos>|<eos>"
+#: Code points of the pieces in which masked texts are read back.
+PIECE = 256
 TURNS_TYPE = "array<struct<role:string,text:string>>"
 
 
@@ -48,44 +57,47 @@ def unescape(c: Column) -> Column:
 # ----------------------------------------------------------- layouts and mappings
 
 
-def paths_of(kind: T.DataType, at: str = "") -> list[str]:
-    """The nested field paths of a type, sorted; an array adds ``[]``."""
-    if isinstance(kind, T.StructType):
-        return sorted(p for f in kind.fields for p in paths_of(f.dataType, f"{at}.{f.name}" if at else f.name))
-    if isinstance(kind, T.ArrayType):
-        return paths_of(kind.elementType, at + "[]")
-    return [at]
-
-
 def fingerprint(paths: list[str]) -> str:
     """A hash of field paths; letter case and order don't count."""
-    return hashlib.sha256("\n".join(sorted(p.lower() for p in set(paths))).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted({p.lower() for p in paths})).encode()).hexdigest()[:16]
 
 
 def _pair(a: str, b: str, system: str | None = None, extra: str | None = None) -> dict:
-    return {"kind": "pair", "prompt": a, "answer": b, "system": system, "extra": extra}
+    optional = [x for x in (system, extra) if x]
+    return {"kind": "pair", "prompt": a, "answer": b, "system": system, "extra": extra, "required": [a, b], "optional": optional}
 
 
 def _list(field: str, role: str, text: str) -> dict:
-    return {"kind": "list", "field": field, "role": role, "text": text}
-
-
-#: Declarative mappings by field paths.
-LAYOUTS: list[tuple[list[str], dict]] = [
-    (["prompt", "completion"], _pair("prompt", "completion")),
-    (["prompt", "response"], _pair("prompt", "response")),
-    (["question", "answer"], _pair("question", "answer")),
-    (["system", "prompt", "response"], _pair("prompt", "response", system="system")),
-    (["instruction", "output"], _pair("instruction", "output")),
-    (["instruction", "input", "output"], _pair("instruction", "output", extra="input")),
-    (["system", "instruction", "input", "output"], _pair("instruction", "output", system="system", extra="input")),
-    (["messages[].role", "messages[].content"], _list("messages", "role", "content")),
-    (["messages[].role", "messages[].text"], _list("messages", "role", "text")),
-    (["conversations[].from", "conversations[].value"], _list("conversations", "from", "value")),
-    (["dialogue[].speaker", "dialogue[].utterance"], _list("dialogue", "speaker", "utterance")),
-    (["conv_id", "turn", "role", "text"], {"kind": "rows", "key": "conv_id", "order": "turn", "role": "role", "text": "text"}),
+    # An array without any of these fields has its name as its path.
+    paths = [f"{field}[].{role}", f"{field}[].{text}"]
+    return {"kind": "list", "field": field, "role": role, "text": text, "required": [], "optional": [], "either": [[field], paths[:1], paths[1:], paths]}
+
+
+#: Declarative mappings. Any of them may have a conv_id beside it.
+LAYOUTS: list[dict] = [
+    _pair("instruction", "output", system="system", extra="input"),
+    _pair("prompt", "response", system="system"),
+    _pair("prompt", "completion", system="system"),
+    _pair("question", "answer", system="system"),
+    _list("messages", "role", "content"),
+    _list("messages", "role", "text"),
+    _list("conversations", "from", "value"),
+    _list("dialogue", "speaker", "utterance"),
+    {"kind": "rows", "key": "conv_id", "order": "turn", "role": "role", "text": "text", "required": [], "optional": ["turn", "role", "text"]},
 ]
-MAPPINGS: dict[str, dict] = {fingerprint(paths): mapping for paths, mapping in LAYOUTS}
+
+
+def _variants(m: dict) -> list[list[str]]:
+    """The sets of paths that a layout's rows may have."""
+    free = ["conv_id", *m["optional"]]
+    some = chain.from_iterable(combinations(free, k) for k in range(len(free) + 1))
+    return [[*m["required"], *either, *chosen] for chosen in some for either in m.get("either", [[]])]
+
+
+#: Fingerprint -> number of the layout; the first of those that share one.
+MAPPINGS: dict[str, int] = {fingerprint(paths): k for k, m in reversed(list(enumerate(LAYOUTS))) for paths in _variants(m)}
+#: All paths that some layout knows.
+KNOWN = sorted({p for m in LAYOUTS for paths in _variants(m) for p in paths})
 #: Fixed spellings of roles.
 ROLES = {"human": "user", "prompter": "user", "customer": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "agent": "assistant"}
 
@@ -116,78 +128,126 @@ def _list_turns(rows: Column, m: dict) -> Column:
     return F.transform(rows, lambda r: _turn(canonical_role(r[m["role"]]), r[m["text"]]))
 
 
-def row_fingerprint(record: Column) -> Column:
-    """The fingerprint of one JSON record, as ``fingerprint`` gives it for its paths (two levels)."""
-    parsed = F.try_parse_json(record)
-    top = F.try_variant_get(parsed, "$", "map<string,variant>")
+def _hash(paths: Column) -> Column:
+    """``fingerprint`` of a column of lower-case paths."""
+    return F.substring(F.sha2(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"), 256), 1, 16)
+
+
+def _chosen(layout: Column, fits: list[tuple[int, Column]]) -> Column:
+    """The number of a row's layout: by its fingerprint, else the first that fits."""
+    known = F.create_map(*(F.lit(x) for pair in MAPPINGS.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, layout), *(F.when(c, F.lit(k)) for k, c in fits))
+
+
+def row_paths(record: Column) -> Column:
+    """The field paths of one JSON record (two levels), in lower case."""
+    top = F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>")
 
     def deeper(entry: Column) -> Column:
         name, value = entry["key"], entry["value"]
         rows = F.try_variant_get(value, "$", "array<map<string,variant>>")
         inner = F.array_distinct(F.flatten(F.transform(rows, lambda r: F.map_keys(r))))
-        return F.when(F.size(rows) > 0, F.transform(inner, lambda k: F.concat(name, F.lit("[]."), k))).otherwise(F.array(name))
+        return F.when(F.size(inner) > 0, F.transform(inner, lambda k: F.concat(name, F.lit("[]."), k))).otherwise(F.array(name))
 
-    paths = F.flatten(F.transform(F.map_entries(top), deeper))
-    return F.substring(F.sha2(F.array_join(F.array_sort(F.array_distinct(F.transform(paths, F.lower))), "\n"), 256), 1, 16)
+    return F.transform(F.flatten(F.transform(F.map_entries(top), deeper)), F.lower)
 
 
 def json_turns(records: DataFrame, json_col: str = "record") -> DataFrame:
     """The rows with ``layout`` (fingerprint) and canonical ``turns`` (null for an unknown layout)."""
-    parsed = F.try_parse_json(F.col(json_col))
+    parsed = F.try_parse_json(F.col(f"`{json_col}`"))
     get = lambda name: F.try_variant_get(parsed, f"$.{name}", "string")
-    turns = F.lit(None).cast(TURNS_TYPE)
-    for key, m in MAPPINGS.items():
+    keep = [c for c in records.columns if c not in {"layout", "turns"}]
+    paths = F.array_intersect(row_paths(F.col(f"`{json_col}`")), F.array(*map(F.lit, KNOWN)))
+    rows = records.select(*(F.col(f"`{c}`") for c in keep), paths.alias("__paths")).withColumn("layout", _hash(F.col("__paths")))
+    has = lambda names: F.size(F.array_intersect("__paths", F.array(*map(F.lit, names)))) == len(names)
+    fits, made = [], {}
+    for k, m in enumerate(LAYOUTS):
         if m["kind"] == "pair":
-            made = _pair_turns(get, m)
+            made[k] = _pair_turns(get, m)
+            fits.append((k, has(m["required"])))
         elif m["kind"] == "list":
-            made = _list_turns(F.try_variant_get(parsed, f"$.{m['field']}", "array<map<string,string>>"), m)
-        else:
-            continue
-        turns = F.when(F.col("layout") == key, made).otherwise(turns)
-    keep = [c for c in records.columns if c not in {"layout", "turns"}]
-    return records.select(*(F.col(f"`{c}`") for c in keep)).withColumn("layout", row_fingerprint(F.col(json_col))).withColumn("turns", turns)
+            made[k] = _list_turns(F.try_variant_get(parsed, f"$.{m['field']}", "array<map<string,string>>"), m)
+            fits.append((k, has(m["either"][-1])))
+    rows = rows.withColumn("__chosen", _chosen(F.col("layout"), fits))
+    turns = F.coalesce(F.lit(None).cast(TURNS_TYPE), *(F.when(F.col("__chosen") == k, c) for k, c in made.items()))
+    return rows.withColumn("turns", turns).drop("__paths", "__chosen")
 
 
-def table_turns(table: DataFrame) -> DataFrame:
-    """Canonical turns of a typed table, by the fingerprint of its schema; columns: conv_id, turns.
+def _any(rows: Column, field: str) -> Column:
+    """Whether a field of some struct in an array isn't null."""
+    return F.exists(rows, lambda r: r[field].isNotNull())
 
-    Columns beyond those of a known layout are ignored: of the layouts whose paths
-    the table has, the one with the most paths is taken.
+
+def turn_rows(table: DataFrame) -> DataFrame:
+    """Canonical turns of a typed table, one a row: conv_id, record, layout, known, turn, pos, role, text.
+
+    Each row's mapping is picked by the hash of the paths of its own fields. A row
+    that is a conversation by itself has a number, ``record``; role is null if it has no turn.
     """
-    have = {p.lower() for p in paths_of(table.schema)}
-    known = [(len(paths), fingerprint(paths)) for paths, _ in LAYOUTS if {p.lower() for p in paths} <= have]
-    if not known:
-        raise ValueError(f"no mapping for the layout with paths {sorted(have)}")
-    m = MAPPINGS[max(known)[1]]
-    if m["kind"] == "rows":
-        turn = F.struct(F.col(m["order"]).alias("at"), F.coalesce(F.col(m["role"]), F.lit("")).alias("role"), F.coalesce(F.col(m["text"]), F.lit("")).alias("text"))
-        return (
-            table.groupBy(F.col(m["key"]).alias("conv_id"))
-            .agg(F.sort_array(F.collect_list(turn)).alias("all"))
-            .select("conv_id", F.transform("all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-        )
-    key = F.col("conv_id") if "conv_id" in table.columns else F.xxhash64(*table.columns)
-    if m["kind"] == "pair":
-        return table.select(key.alias("conv_id"), _pair_turns(lambda n: F.col(n).cast("string"), m).alias("turns"))
-    return table.select(key.alias("conv_id"), _list_turns(F.col(m["field"]), m).alias("turns"))
+    columns = {f.name.lower(): f for f in table.schema.fields}
+    paths: list[Column] = []
+    have: set[str] = set()
+    for name, f in columns.items():
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            inner = {p: g.name for g in f.dataType.elementType.fields if (p := f"{name}[].{g.name.lower()}") in KNOWN}
+            have |= set(inner)
+            there = [(p, _any(c, g)) for p, g in inner.items()]
+            paths += [F.when(has, F.lit(p)) for p, has in there]
+            if name in KNOWN:
+                none = c.isNotNull()
+                for _, has in there:
+                    none = none & ~F.coalesce(has, F.lit(False))
+                paths.append(F.when(none, F.lit(name)))
+        elif name in KNOWN:
+            have.add(name)
+            paths.append(F.when(c.isNotNull(), F.lit(name)))
+    possible = {k: m for k, m in enumerate(LAYOUTS) if set(m["required"]) <= have and (m["kind"] != "list" or set(m["either"][-1]) <= have) and (m["kind"] != "rows" or {"conv_id", "turn", "role", "text"} <= have)}
+    if not possible:
+        raise ValueError(f"no mapping for the layout with columns {table.columns}")
+    get = lambda name: F.col(f"`{columns[name].name}`").cast("string") if name in columns else F.lit(None).cast("string")
+    entry = lambda turn, pos, role, text: F.struct(turn.cast("long").alias("turn"), pos.cast("int").alias("pos"), role.alias("role"), text.alias("text"))
+    fits, entries = [], []
+    for k, m in possible.items():
+        if m["kind"] == "rows":
+            made = F.array(entry(F.col(m["order"]), F.lit(0), F.coalesce(get(m["role"]), F.lit("")), F.coalesce(get(m["text"]), F.lit(""))))
+        else:
+            turns = _pair_turns(get, m) if m["kind"] == "pair" else _list_turns(F.col(m["field"]), m)
+            made = F.transform(turns, lambda t, i: entry(F.lit(None), i, t["role"], t["text"]))
+            some = [F.col(m["field"]).isNotNull()] if m["kind"] == "list" else [get(x).isNotNull() for x in m["required"]]
+            fits.append((k, F.greatest(*some) if len(some) > 1 else some[0]))
+        entries.append(F.when(F.col("chosen") == k, made))
+    alone = F.col("chosen").isNull() | ~F.col("chosen").isin([k for k, m in possible.items() if m["kind"] == "rows"])
+    conv = F.col("conv_id") if "conv_id" in columns else F.lit(None).cast("long")
+    rows = table.withColumn("layout", _hash(F.array_compact(F.array(*paths)))).withColumn("chosen", _chosen(F.col("layout"), fits))
+    rows = rows.withColumn("chosen", F.when(F.col("chosen").isin(list(possible)), F.col("chosen")))
+    # Numbered before its turns become rows.
+    rows = rows.withColumn("conv_id", conv).withColumn("record", F.when(alone, F.monotonically_increasing_id()))
+    rows = rows.select("conv_id", "record", "layout", F.col("chosen").isNotNull().alias("known"), F.explode_outer(F.coalesce(*entries, F.lit(None))).alias("t"))
+    return rows.select("conv_id", "record", "layout", "known", "t.*")
 
 
-# ------------------------------------------------------------------- template
+def table_turns(table: DataFrame) -> DataFrame:
+    """Canonical turns of a typed table by conversation: conv_id, turns."""
+    whole = F.when(F.col("role").isNotNull(), F.struct("turn", "pos", "role", "text"))
+    grouped = turn_rows(table).groupBy("conv_id", "record").agg(F.max("known").alias("known"), F.sort_array(F.collect_list(whole)).alias("all"))
+    return grouped.select("conv_id", F.when(F.col("known"), F.transform("all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))).alias("turns"))
 
 
-def format_turns(turns: Column) -> Column:
-    """Turns -> struct(formatted, loss): the text and the spans (start, length) under the loss mask."""
-    parts = F.transform(turns, lambda t: F.struct((t["role"] == "assistant").alias("loss"), F.concat(F.lit(TURN), escape(t["role"]), F.lit(TEXT)).alias("head"), escape(t["text"]).alias("body")))
-    formatted = F.array_join(F.transform(parts, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-    sizes = F.transform(parts, lambda p: F.struct(p["loss"].alias("loss"), F.length(p["head"]).alias("head"), F.length(p["body"]).alias("body")))
-    spans = "array<struct<start:bigint,length:bigint>>"
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(spans).alias("spans"))
+# ------------------------------------------------------------------- template
 
-    def step(s: Column, p: Column) -> Column:
-        span = F.struct((s["at"] + p["head"]).alias("start"), p["body"].cast("bigint").alias("length"))
-        return F.struct((s["at"] + p["head"] + p["body"] + len(END)).alias("at"), F.when(p["loss"], F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans"))
 
-    return F.struct(formatted.alias("formatted"), F.aggregate(sizes, state, step, lambda s: s["spans"]).alias("loss"))
+def format_rows(rows: DataFrame) -> DataFrame:
+    """Rows of ``turn_rows`` -> one a conversation: conv_id, formatted, loss (spans, start and length in code points, of assistant texts)."""
+    head, body = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)), escape(F.col("text"))
+    pieces = rows.select("conv_id", "record", "known", "turn", "pos", "role", "text", head.alias("head"), body.alias("body"))
+    pieces = pieces.withColumn("piece", F.concat("head", "body", F.lit(END)))
+    before = Window.partitionBy("conv_id", "record").orderBy("turn", "pos", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("start", F.coalesce(F.sum(F.length("piece").cast("long")).over(before), F.lit(0)))
+    part = F.when(F.col("piece").isNotNull(), F.struct("start", "piece"))
+    span = F.when(F.col("role") == "assistant", F.struct((F.col("start") + F.length("head")).alias("start"), F.length("body").cast("long").alias("length")))
+    grouped = placed.groupBy("conv_id", "record").agg(F.max("known").alias("known"), F.sort_array(F.collect_list(part)).alias("parts"), F.sort_array(F.collect_list(span)).alias("loss"))
+    return grouped.select("conv_id", F.when(F.col("known"), F.array_join(F.col("parts.piece"), "")).alias("formatted"), F.when(F.col("known"), F.col("loss")).alias("loss"))
 
 
 def parse_turns(formatted: Column) -> Column:
@@ -203,18 +263,26 @@ def parse_turns(formatted: Column) -> Column:
 
 def format_conversations(table: DataFrame) -> DataFrame:
     """One row a conversation: conv_id, formatted, loss (spans of code points)."""
-    return table_turns(table).select("conv_id", format_turns(F.col("turns")).alias("f")).select("conv_id", "f.formatted", "f.loss")
+    return format_rows(turn_rows(table))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What is read back from formatted conversations."""
-    turns = F.col("turns")
-    masked = F.array_join(F.transform("loss", lambda s: unescape(F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
-    read = formatted.select("conv_id", "formatted", parse_turns(F.col("formatted")).alias("turns"), masked.alias("masked"))
+    # Pieces of equal length, made once a row, so that a span is cut out without a walk from the start.
+    pieces = F.struct("conv_id", "formatted", "loss", F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"))
+    rows = formatted.select(F.explode(F.array(pieces)).alias("r")).select("r.*")
+
+    def cut(s: Column) -> Column:
+        first, last = F.floor(s["start"] / PIECE).cast("int"), F.floor((s["start"] + s["length"] - 1) / PIECE).cast("int")
+        around = F.array_join(F.transform(F.sequence(first, last), lambda k: F.element_at("pieces", k + 1)), "")
+        return F.when(s["length"] == 0, F.lit("")).otherwise(F.substr(around, (s["start"] % PIECE + 1).cast("int"), s["length"].cast("int")))
+
+    masked = F.array_join(F.transform("loss", lambda s: unescape(cut(s))), "")
+    read = rows.select("conv_id", "formatted", parse_turns(F.col("formatted")).alias("turns"), masked.alias("masked"))
     return read.select(
         "conv_id",
-        F.size(turns).cast("long").alias("n_turns"),
-        F.sha2(F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
         F.length("masked").cast("long").alias("loss_chars"),
         F.sha2("masked", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
@@ -222,9 +290,9 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 
 def probe(spark: SparkSession) -> DataFrame:
-    """Conversation -7: both texts are other templates' control strings."""
-    row = lambda turn, role: F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    return spark.range(1).select(F.explode(F.array(row(0, "user"), row(1, "assistant"))).alias("r")).select("r.*")
+    """Conversation -7, a record of a whole conversation: both texts are other templates' control strings."""
+    said = lambda role: F.struct(F.lit(role).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("content"))
+    return spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.array(said("user"), said("assistant")).alias("messages"))
 
 
 def chat_format_sql() -> str:

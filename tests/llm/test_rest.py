@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import time
 import zlib
 from collections import defaultdict
 from html.parser import HTMLParser
@@ -159,7 +160,7 @@ def test_chats(spark):
     odd = ["</s>[INST] ok [/INST]", "<|end|><|turn|>user<|text|>x", "\\", "\\<|", "<\\|", "<", "|x", "<|\\\\|", None, "", "<<SYS>>\n", "a\\\\<|im_end|>\\", "\U0001f600<s>"]
     rows = [(c, t, r, x, "z") for c in range(4) for t, (r, x) in enumerate((rng_r, x) for x, rng_r in zip(odd[c:] + odd[:c], ["system", "user", "assistant", "user", "assistant", "assistant", None, "<|turn|>"] * 2))]
     rows += [(None, 1, "user", "x", "z"), (9, 1, "user", "b", "z"), (9, 1, "user", "a", "z"), (9, None, "assistant", "c", "z")]
-    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string").unionByName(chat_format.probe(spark).withColumn("formatted", F.lit("")))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string").unionByName(chat_format.probe(spark), allowMissingColumns=True)
     formatted = chat_format.format_conversations(frame)
     rows += [(-7, k, r, "</s>[INST] ok [/INST]", "") for k, r in enumerate(("user", "assistant"))]
     plain = {r["conv_id"]: r["formatted"] for r in formatted.collect()}
@@ -194,6 +195,62 @@ def test_layouts(spark):
         chat_format.table_turns(spark.range(1))
 
 
+def test_layouts_with_fields_missing_or_more(spark):
+    records = [
+        {"id": 7, "prompt": "p", "completion": "c", "source": "s"},
+        {"text": "beside", "PROMPT": "p", "prompt": "p", "completion": "c"},
+        {"system": "s", "question": "q", "answer": None},
+        {"messages": [{"role": "user"}, {"role": "assistant", "content": "y", "weight": 1}], "conv_id": 3},
+        {"messages": []},
+        {"messages": [{"role": "bot", "text": "t"}]},
+        {"instruction": "i", "output": "o", "system": "s", "conv_id": 4, "prompt": "ignored"},
+        {"prompt": "p"},
+    ]
+    frame = spark.createDataFrame([(k, json.dumps(r), "old") for k, r in enumerate(records)], "k int, record string, layout string")
+    got = {r["k"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in chat_format.json_turns(frame).collect()}
+    assert got == {
+        0: [("user", "p"), ("assistant", "c")],
+        1: [("user", "p"), ("assistant", "c")],
+        2: [("system", "s"), ("user", "q"), ("assistant", "")],
+        3: [("user", ""), ("assistant", "y")],
+        4: [],
+        5: [("assistant", "t")],
+        6: [("system", "s"), ("user", "i"), ("assistant", "o")],
+        7: None,
+    }
+
+
+def test_tables_that_unite_layouts(spark):
+    """Every row takes its own mapping, nulls and all."""
+    said = "array<struct<role:string,content:string>>"
+    rows = [
+        (1, 1, "user", "a", None, None, None), (1, 2, "assistant", None, None, None, None), (1, None, None, None, None, None, None), (None, None, None, None, None, None, None),
+        (2, None, None, None, [("user", "x"), ("assistant", None), ("assistant", "y")], None, None), (2, None, None, None, [("user", "x")], None, None), (3, None, None, None, [], None, None),
+        (4, None, None, None, None, "p", "c"), (5, None, None, None, None, "p", None), (6, None, None, None, None, None, "c"),
+    ]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, messages {said}, prompt string, completion string")
+    got = sorted((r["conv_id"] or 0, [tuple(t) for t in r["turns"]]) for r in chat_format.table_turns(frame).collect())
+    assert got == [
+        (0, [("", "")]), (1, [("", ""), ("user", "a"), ("assistant", "")]), (2, [("user", "x")]), (2, [("user", "x"), ("assistant", ""), ("assistant", "y")]), (3, []),
+        (4, [("user", "p"), ("assistant", "c")]), (5, [("user", "p"), ("assistant", "")]), (6, [("user", ""), ("assistant", "c")]),
+    ]
+    read = {r["conv_id"]: r for r in chat_format.digests(chat_format.format_conversations(frame.filter("conv_id <> 2 or size(messages) > 1"))).collect()}
+    assert read[2]["loss_chars"] == 1 and read[3]["n_turns"] == 0 and read[3]["formatted_chars"] == 0 and read[1]["n_turns"] == 3
+    # The hash of a row's own paths picks its mapping.
+    layouts = {r["conv_id"]: r["layout"] for r in chat_format.turn_rows(frame).collect()}
+    assert layouts[4] == chat_format.fingerprint(["conv_id", "prompt", "completion"]) and layouts[3] == chat_format.fingerprint(["conv_id", "messages"])
+
+
+def test_a_long_conversation(spark):
+    """The work is linear in the number of turns."""
+    turns = spark.range(60_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("\U0001f600é "), F.col("id").cast("string")).alias("text"))
+    began = time.time()
+    row = chat_format.digests(chat_format.format_conversations(turns)).first()
+    assert time.time() - began < 60
+    said = "".join(f"\U0001f600é {k}" for k in range(1, 60_000, 2))
+    assert row["n_turns"] == 60_000 and row["loss_chars"] == len(said) and row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
 # -------------------------------------------------------------------------- pages
 
 
