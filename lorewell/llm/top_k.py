@@ -1,11 +1,12 @@
 """Exact top-k inner products: a ball tree per shard, searched branch and bound.
 
-Candidates are dealt to shards and queries to blocks, both of bounded size; a
-task holds one block and one shard. The shard's vectors form a ball tree. For
-every query the leaves are visited in the order of their upper bound
-``<q, centre> + |q| * radius``, a whole block at a time, and a leaf is scanned
-only for queries whose bound reaches their kth score so far. Scores of a first
-shard, the pilot, give every query a kth score that all other shards start from.
+Candidates are dealt to shards and queries to blocks, both of bounded size. A
+shard's ball tree is built once and stored; a task holds one block and one shard's
+tree. It goes down the tree from the root, the node with the
+greatest upper bound ``<q, centre> + |q| * radius`` first, a whole block at a time: a node, with all
+below it, is left out for the queries whose kth score so far its bound doesn't reach. Shards
+are searched in rounds, each of twice as many shards as the one before, and
+every round starts from the kth scores of all rounds before it.
 
 Edge cases. Vectors that are null, empty, or hold null or non-finite components take no
 part, nor do rows with a null id. Rows repeating an id count once, with the
@@ -17,12 +18,15 @@ Scores beyond a signed 64-bit integer are clamped to its range.
 
 from __future__ import annotations
 
+import heapq
+import io
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small_batches
+from .common import checkpointed, forget, small_batches
 
 #: Rows of a shard and queries of a block, at most on average.
 SHARD_ROWS = 16_384
@@ -42,23 +46,55 @@ def integer_vector(c: Column, scale: int) -> Column:
 
 
 class BallTree:
-    """Leaves of a ball tree over rows of x, by repeated halving along the widest spread."""
+    """A ball tree over vectors x, by repeated halving along the widest spread.
+
+    Node 0 is the root. A node has the rows from ``low`` to ``high`` (vectors and
+    ids stand in the tree's order) and two children, or -1 for a leaf.
+    """
 
-    def __init__(self, x: np.ndarray, leaf: int = LEAF) -> None:
-        self.leaves: list[np.ndarray] = []
-        todo = [np.arange(len(x))]
+    FIELDS = ("x", "ids", "low", "high", "left", "right", "centre", "radius")
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> None:
+        order = np.arange(len(x))
+        low, high, left, right = [0], [len(x)], [-1], [-1]
+        todo = [0]
         while todo:
-            rows = todo.pop()
-            if len(rows) <= leaf:
-                self.leaves.append(rows)
+            node = todo.pop()
+            a, b = low[node], high[node]
+            if b - a <= leaf:
                 continue
-            part = x[rows]
+            part = x[order[a:b]]
             axis = int(np.argmax(part.max(0) - part.min(0)))
-            half = len(rows) // 2
-            order = np.argpartition(part[:, axis], half)
-            todo += [rows[order[:half]], rows[order[half:]]]
-        self.centres = np.array([x[r].mean(0) for r in self.leaves])
-        self.radii = np.array([np.sqrt(((x[r] - c) ** 2).sum(1).max()) for r, c in zip(self.leaves, self.centres, strict=True)])
+            half = (b - a) // 2
+            order[a:b] = order[a:b][np.argpartition(part[:, axis], half)]
+            left[node], right[node] = len(low), len(low) + 1
+            low += [a, a + half]
+            high += [a + half, b]
+            left += [-1, -1]
+            right += [-1, -1]
+            todo += [left[node], right[node]]
+        self.x, self.ids = x[order], ids[order]
+        self.low, self.high, self.left, self.right = (np.array(v) for v in (low, high, left, right))
+        self.centre = np.array([self.x[a:b].mean(0) for a, b in zip(low, high, strict=True)])
+        self.radius = np.array([np.sqrt(((self.x[a:b] - c) ** 2).sum(1).max()) for a, b, c in zip(low, high, self.centre, strict=True)])
+
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **{k: getattr(self, k) for k in self.FIELDS})
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, raw: bytes) -> BallTree:
+        tree = cls.__new__(cls)
+        with np.load(io.BytesIO(raw), allow_pickle=False) as found:
+            for k in cls.FIELDS:
+                setattr(tree, k, found[k])
+        return tree
+
+    def bounds(self, q: np.ndarray, norms: np.ndarray, node: int) -> np.ndarray:
+        """No score of the node's rows is above these; some room for rounding."""
+        bound = q @ self.centre[node] + norms * self.radius[node]
+        return bound + np.abs(bound) * 1e-9 + 1e-6
 
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -83,23 +119,32 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def search(q: np.ndarray, q_ids: np.ndarray, kth: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best candidates of each query, without its own id; kth: a score that a result must reach."""
+def search(q: np.ndarray, q_ids: np.ndarray, kth: np.ndarray, tree: BallTree, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The k best candidates of each query, without its own id, and the number of scores computed; kth: a score that a result must reach."""
     none, last = NONE, np.iinfo(np.int64).max
     scores, found = np.full((len(q), k), none), np.full((len(q), k), last)
-    kth = kth.copy()
-    tree = BallTree(x)
+    kth, computed = kth.copy(), 0
     norms = np.sqrt((q * q).sum(1))
-    bounds = q @ tree.centres.T + norms[:, None] * tree.radii[None, :]
-    bounds += np.abs(bounds) * 1e-9 + 1e-6
-    for leaf in np.argsort(-bounds.max(0), kind="stable"):
-        alive = np.flatnonzero(bounds[:, leaf] >= kth)
+    every = np.arange(len(q))
+    first = tree.bounds(q, norms, 0)
+    heap = [(-float(first.max()), 0, every, first)]
+    while heap:
+        _, node, alive, bound = heapq.heappop(heap)
+        alive = alive[bound >= kth[alive]]  # scores may have risen since the node was found
         if not len(alive):
             continue
-        rows = tree.leaves[leaf]
-        s = exact_scores(q[alive], x[rows])
-        own = q_ids[alive][:, None] == ids[rows][None, :]
-        i = np.where(own, last, np.broadcast_to(ids[rows], s.shape))
+        if tree.left[node] >= 0:
+            for child in (int(tree.left[node]), int(tree.right[node])):
+                below = tree.bounds(q[alive], norms[alive], child)
+                near = below >= kth[alive]
+                if near.any():
+                    heapq.heappush(heap, (-float(below[near].max()), child, alive[near], below[near]))
+            continue
+        rows = slice(tree.low[node], tree.high[node])
+        s = exact_scores(q[alive], tree.x[rows])
+        computed += s.size
+        own = q_ids[alive][:, None] == tree.ids[rows][None, :]
+        i = np.where(own, last, np.broadcast_to(tree.ids[rows], s.shape))
         s = np.where(own, none, s)
         hit = np.flatnonzero(s.max(1) >= kth[alive])
         if not len(hit):
@@ -108,13 +153,20 @@ def search(q: np.ndarray, q_ids: np.ndarray, kth: np.ndarray, x: np.ndarray, ids
         best = _best(np.hstack([scores[alive], s[hit]]), np.hstack([found[alive], i[hit]]), k)
         scores[alive], found[alive] = best
         kth[alive] = np.maximum(kth[alive], best[0][:, -1])
-    return scores, found
+    return scores, found, computed
 
 
 def _matrix(vectors: pa.ChunkedArray, dim: int) -> np.ndarray:
     return vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def _plant(shard: pa.Table) -> pa.Table:
+    """The vectors of one shard -> its tree, in one row."""
+    dim, number = shard.column("dim")[0].as_py(), shard.column("shard")[0].as_py()
+    tree = BallTree(_matrix(shard.column("vec"), dim), shard.column("vec_id").to_numpy())
+    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([number], pa.int32()), "tree": pa.array([tree.dump()], pa.binary())})
+
+
 def _cell(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     names = ["query_id", "vec_id", "score"]
     empty = pa.table({n: pa.array([], pa.int64()) for n in names})
@@ -123,7 +175,7 @@ def _cell(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     dim = left.column("q_dim")[0].as_py()
     q_ids = left.column("query_id").to_numpy()
     kth = left.column("kth").to_numpy()
-    scores, found = search(_matrix(left.column("q_vec"), dim), q_ids, kth, _matrix(right.column("vec"), dim), right.column("vec_id").to_numpy(), k)
+    scores, found, _ = search(_matrix(left.column("q_vec"), dim), q_ids, kth, BallTree.load(right.column("tree")[0].as_py()), k)
     real = found != np.iinfo(np.int64).max
     real &= scores >= kth[:, None]
     return pa.table({"query_id": np.repeat(q_ids, real.sum(1)), "vec_id": found[real], "score": scores[real]})
@@ -147,32 +199,34 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // block_queries))
     place = lambda c, count, seed: F.pmod(F.xxhash64(F.lit(seed), c), F.lit(count)).cast("int")
-    candidates = rows.withColumn("shard", place(F.col("vec_id"), shards, 1))
-    queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec"), "dim", place(F.col("vec_id"), blocks, 2).alias("block"))
-
-    def met(queries: DataFrame, candidates: DataFrame, shard: Column) -> DataFrame:
-        """queries have kth; every pair of block and shard is one group, so one task's work."""
-        left = queries.withColumn("shard", F.explode(shard))
-        right = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        # Names of its own on one side: both sides stem from the same rows.
-        left = left.select("query_id", "q_vec", "kth", F.col("dim").alias("q_dim"), F.col("shard").alias("q_shard"), F.col("block").alias("q_block"))
-        keys = ["dim", "shard", "block"]
-        return left.groupBy(*(f"q_{c}" for c in keys)).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: _cell(k, a, b), RESULT)
-
-    unknown = queries.withColumn("kth", F.lit(NONE).cast("long"))
-    first = met(unknown, candidates.filter("shard = 0"), F.array(F.lit(0)))
-    if shards == 1:
-        found = first
-    else:
-        first = checkpointed(first)
+    trees = checkpointed(rows.withColumn("shard", place(F.col("vec_id"), shards, 1)).groupBy("dim", "shard").applyInArrow(_plant, "dim int, shard int, tree binary"))
+    queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec"), F.col("dim").alias("q_dim"), place(F.col("vec_id"), blocks, 2).alias("q_block"))
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+
+    def met(known: DataFrame, first: int, last: int) -> DataFrame:
+        """Every pair of a block and one of these shards is one group, so one task's work; known: queries with kth."""
+        left = known.withColumn("q_shard", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
+        right = trees.filter(F.col("shard").between(first, last - 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        return left.groupBy("q_dim", "q_shard", "q_block").cogroup(right.groupBy("dim", "shard", "block")).applyInArrow(lambda a, b: _cell(k, a, b), RESULT)
+
+    def best(found: DataFrame) -> DataFrame:
+        # Spark keeps k rows of a query in each task before it shuffles them.
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    known, so_far, done, wave = queries.withColumn("kth", F.lit(NONE).cast("long")), None, 0, 1
+    while True:
+        last = min(shards, done + wave)
+        found = met(known, done, last)
+        found = found if so_far is None else so_far.unionByName(found)
+        if last == shards:
+            return best(found).select("query_id", "rank", "vec_id", "score")
+        older, so_far = so_far, checkpointed(best(found).select("query_id", "vec_id", "score"))
+        if older is not None:
+            forget(older)
         # Only k scores make a bound; with fewer found, the query starts from nothing.
-        bound = first.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("m")).filter(F.col("m") >= k).select("query_id", "low")
+        bound = so_far.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("m")).filter(F.col("m") >= k).select("query_id", "low")
         known = queries.join(bound, "query_id", "left").withColumn("kth", F.coalesce("low", F.lit(NONE).cast("long"))).drop("low")
-        rest = met(known, candidates.filter("shard > 0"), F.sequence(F.lit(1), F.lit(shards - 1)))
-        found = first.unionByName(rest)
-    # Spark keeps k rows of a query in each task before it shuffles them.
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        done, wave = last, 2 * wave
 
 
 def top_k_sql(step: int = 20, k: int = 20, scale: int = 64) -> str:

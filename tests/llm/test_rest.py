@@ -49,6 +49,24 @@ def test_top_k(spark, shard_rows):
     assert plain(sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect())) == plain(want)
 
 
+def test_bounds_leave_branches_out():
+    """Clusters far apart: most scores aren't computed, and the best are found; a tree that was stored is the same."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 8)) * 300
+    x = np.floor(np.repeat(centres, 100, 0) + rng.normal(size=(4000, 8)) * 3)
+    ids = rng.permutation(4000).astype(np.int64)
+    tree = top_k.BallTree.load(top_k.BallTree(x, ids).dump())
+    for node in range(len(tree.low)):
+        rows = tree.x[tree.low[node] : tree.high[node]]
+        assert (np.sqrt(((rows - tree.centre[node]) ** 2).sum(1)) <= tree.radius[node] + 1e-9).all()
+    at = np.argsort(tree.ids)[::20]
+    scores, found, computed = top_k.search(tree.x[at], tree.ids[at], np.full(len(at), top_k.NONE), tree, 5)
+    every = tree.x[at] @ tree.x.T
+    every[np.arange(len(at)), at] = -np.inf
+    assert (scores == -np.sort(-every, 1)[:, :5]).all()
+    assert computed < 0.25 * every.size
+
+
 def test_top_k_of_little(spark):
     frame = spark.createDataFrame([(0, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert top_k.top_k(frame, F.col("vec_id") % 5 == 0).count() == 0
