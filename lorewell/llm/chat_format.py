@@ -240,12 +240,13 @@ def table_turns(table: DataFrame) -> DataFrame:
 def format_rows(rows: DataFrame) -> DataFrame:
     """Rows of ``turn_rows`` -> one a conversation: conv_id, formatted, loss (spans, start and length in code points, of assistant texts)."""
     head, body = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)), escape(F.col("text"))
-    pieces = rows.select("conv_id", "record", "known", "turn", "pos", "role", "text", head.alias("head"), body.alias("body"))
-    pieces = pieces.withColumn("piece", F.concat("head", "body", F.lit(END)))
+    # Only lengths are made before rows meet by conversation, so a text is shuffled once.
+    sized = rows.select("conv_id", "record", "known", "turn", "pos", "role", "text", F.length(head).alias("head"), F.length(body).alias("body"))
     before = Window.partitionBy("conv_id", "record").orderBy("turn", "pos", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
-    placed = pieces.withColumn("start", F.coalesce(F.sum(F.length("piece").cast("long")).over(before), F.lit(0)))
+    placed = sized.withColumn("start", F.coalesce(F.sum(F.col("head").cast("long") + F.col("body") + len(END)).over(before), F.lit(0)))
+    placed = placed.withColumn("piece", F.concat(head, body, F.lit(END)))
     part = F.when(F.col("piece").isNotNull(), F.struct("start", "piece"))
-    span = F.when(F.col("role") == "assistant", F.struct((F.col("start") + F.length("head")).alias("start"), F.length("body").cast("long").alias("length")))
+    span = F.when(F.col("role") == "assistant", F.struct((F.col("start") + F.col("head")).alias("start"), F.col("body").cast("long").alias("length")))
     grouped = placed.groupBy("conv_id", "record").agg(F.max("known").alias("known"), F.sort_array(F.collect_list(part)).alias("parts"), F.sort_array(F.collect_list(span)).alias("loss"))
     return grouped.select("conv_id", F.when(F.col("known"), F.array_join(F.col("parts.piece"), "")).alias("formatted"), F.when(F.col("known"), F.col("loss")).alias("loss"))
 

@@ -22,6 +22,7 @@ them replace them.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections import defaultdict
@@ -37,13 +38,16 @@ BLOCK = 64
 SOURCES = 1024
 #: Sum of all sources' parts, at most.
 PARTS = 1 << 20
+#: Places of all phases of a schedule, at most: what the driver makes and tasks are sent.
+PLACES = 1 << 22
 #: Rows of a bucket, on average: what one task ranks.
 BUCKET_ROWS = 8_192
 
 
-def period(parts: list[int]) -> list[int]:
-    """The source of each slot of one period, by earliest deadline among released blocks; ties to the lower index."""
+def period(parts: list[int], slots: int | None = None) -> list[int]:
+    """The source of each slot of one period, or of its first slots, by earliest deadline among released blocks; ties to the lower index."""
     total = sum(parts)
+    slots = total if slots is None else min(slots, total)
     waiting: list[list[int]] = [[] for _ in range(total + 1)]  # by release: sources
     done = [0] * len(parts)
     for s, w in enumerate(parts):
@@ -51,7 +55,7 @@ def period(parts: list[int]) -> list[int]:
             waiting[0].append(s)
     ready: list[tuple[int, int]] = []
     out = []
-    for slot in range(total):
+    for slot in range(slots):
         for s in waiting[slot]:
             heapq.heappush(ready, (-(-(done[s] + 1) * total // parts[s]), s))
         _, s = heapq.heappop(ready)
@@ -71,25 +75,31 @@ def phases(parts: list[int], blocks: list[int]) -> list[dict]:
 def staged(stages: list[list[tuple[int, int]]]) -> list[dict]:
     """The same for sources whose parts change: by source, parts and how many blocks are mixed with them, in turn.
 
+    A phase has at most a period's places, and at most one for each of its slots; all have at most ``PLACES``.
+
     Rows: source, from_block (its first block of the phase), n_blocks, slot (the
     phase's first), total (slots of a period), quota (its slots in one), at (their places).
     """
     todo = [[x for x in reversed(s) if x[1]] for s in stages]
-    left, begun, slot, out = [s[-1][1] if s else 0 for s in todo], [0] * len(todo), 0, []
+    left, begun, slot, out, held = [s[-1][1] if s else 0 for s in todo], [0] * len(todo), 0, [], 0
     while any(left):
         active = [s[-1][0] if s else 0 for s in todo]
         common = math.gcd(*active)
         active = [w // common for w in active]
-        table = period(active)
+        total = sum(active)
+        table = period(active, sum(left))
         places: list[list[int]] = [[] for _ in todo]
         for k, s in enumerate(table):
             places[s].append(k)
-        # The slot after a source's last block, whichever comes first.
-        ends = [(n - 1) // w * len(table) + places[s][(n - 1) % w] + 1 for s, (n, w) in enumerate(zip(left, active, strict=True)) if w]
+        # The slot after a source's last block, whichever comes first. One without a place for it ends later.
+        ends = [(n - 1) // w * total + places[s][(n - 1) % w] + 1 for s, (n, w) in enumerate(zip(left, active, strict=True)) if w and (n - 1) % w < len(places[s])]
         end = min(ends)
-        full, rest = divmod(end, len(table))
-        given = [full * w + sum(1 for k in places[s] if k < rest) for s, w in enumerate(active)]
-        out += [{"source": s, "from_block": begun[s], "n_blocks": g, "slot": slot, "total": len(table), "quota": active[s], "at": places[s]} for s, g in enumerate(given) if g]
+        full, rest = divmod(end, total)
+        given = [full * w + bisect.bisect_left(places[s], rest) for s, w in enumerate(active)]
+        held += min(total, end)
+        if held > PLACES:
+            raise ValueError(f"the schedule has more than {PLACES} places; name fewer or coarser parts")
+        out += [{"source": s, "from_block": begun[s], "n_blocks": g, "slot": slot, "total": total, "quota": active[s], "at": places[s] if full else places[s][:g]} for s, g in enumerate(given) if g]
         left = [n - g for n, g in zip(left, given, strict=True)]
         begun = [b + g for b, g in zip(begun, given, strict=True)]
         slot += end

@@ -1,7 +1,7 @@
 """URL filters: host-suffix and path-prefix expressions against a rule table.
 
 Each distinct URL is expanded into the expressions that a rule could be (every
-suffix of its host at a label, with every prefix of its path whose length some
+suffix of its host with as many labels as some rule has, with every prefix of its path whose length some
 rule has). Expressions meet the rules in an equi-join on the first bytes of
 their digests; full digests then confirm, and the longest rule wins (ties: the
 longer host, then block before allow, then the smaller string).
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, fits
 
 RULES_SCHEMA = "host string, path string, verdict string"
-#: Rules up to this number are broadcast; more are joined by a shuffle, salted.
-BROADCAST_RULES = 200_000
+#: Rules up to this number and of so many bytes are broadcast; more are joined by a shuffle, salted.
+BROADCAST_RULES, BROADCAST_BYTES = 200_000, 32 << 20
 #: Hexadecimal digits of a digest in the join key.
 PREFIX_DIGITS = 8
 #: Copies of each rule, in the shuffled join: a popular host is spread over so many tasks.
@@ -37,10 +37,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _host_suffixes(host: Column) -> Column:
-    """The host itself and what follows each of its dots."""
+def _host_suffixes(host: Column, counts: list[int]) -> Column:
+    """The last labels of a host, as many as in ``counts`` each."""
     labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    last = lambda n: F.when(F.size(labels) >= n, F.array_join(F.slice(labels, F.size(labels) - (n - 1), n), "."))
+    return F.filter(F.array(*map(last, counts)) if counts else F.array(F.lit(None).cast("string")), lambda h: h.isNotNull())
 
 
 def _digest(host: Column, path: Column) -> Column:
@@ -66,17 +67,18 @@ def url_filter(urls: DataFrame, rules: DataFrame, url_col: str = "url", default:
     )
     # As many lengths as rules have, not as many as there are rules; a length is below the longest URL's.
     lengths = sorted(r[0] for r in rules.select(F.length("r_path")).distinct().collect())
+    labels = sorted(r[0] for r in rules.select(F.size(F.split("r_host", r"\.", -1))).distinct().collect())
     host, path = host_and_path(F.col("u_url"))
     distinct = urls.select(F.col(url_col).alias("u_url")).filter(F.col("u_url").contains("://")).distinct().select("u_url", host.alias("u_host"), path.alias("u_path"))
     prefixes = F.filter(F.array(*(F.when(F.length("u_path") >= n, F.substring("u_path", 1, n)) for n in lengths) if lengths else [F.lit(None).cast("string")]), lambda p: p.isNotNull())
     expressions = (
-        distinct.select("u_url", F.explode(_host_suffixes(F.col("u_host"))).alias("e_host"), prefixes.alias("e_paths"))
+        distinct.select("u_url", F.explode(_host_suffixes(F.col("u_host"), labels)).alias("e_host"), prefixes.alias("e_paths"))
         .select("u_url", "e_host", F.explode("e_paths").alias("e_path"))
         .select("u_url", "e_host", "e_path", _digest(F.col("e_host"), F.col("e_path")).alias("e_digest"))
         .withColumn("key", F.substring("e_digest", 1, PREFIX_DIGITS))
     )
     rules = rules.withColumn("key", F.substring("r_digest", 1, PREFIX_DIGITS))
-    if fits(rules, broadcast_rules):
+    if fits(rules, broadcast_rules) and (rules.agg(F.sum(F.octet_length("r_host") + F.octet_length("r_path"))).first()[0] or 0) <= BROADCAST_BYTES:
         met = expressions.join(F.broadcast(rules), "key")
     else:
         salted = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

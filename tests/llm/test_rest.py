@@ -6,7 +6,8 @@ import math
 import random
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from fractions import Fraction
 from html.parser import HTMLParser
 from pathlib import Path
 
@@ -14,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lorewell.llm import chat_format, html_extract, language_model, mixing, packing, registry, top_k, url_filters
+from lorewell.llm import chat_format, html_extract, language_model, mixing, packing, quality_rules, registry, top_k, url_filters
 from lorewell.llm.common import likely_in, without
 
 
@@ -609,14 +610,82 @@ def test_mix_reaches_the_sequences(spark):
     assert abs(sum(sources[i] == "src0" for i in early) / len(early) - 10 / 11) < 1 / 12
 
 
-def test_pipeline(spark):
+def test_pipeline_against_its_stages(spark, tmp_path):
+    """run() gives what plain versions of the stages leave, one after the other; only the classifier is its own."""
+    from test_texts import brute, words_of
+    from tokenizers import Tokenizer
+
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "near-dedup", "mixing", "packing"]
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
     rows = corpus_pipeline.run(spark, d).collect()
-    ids = {r["doc_id"] for r in rows}
-    assert ids and ids < {r[0] for r in docs.select("doc_id").collect()}
-    ruled = {r[0] for r in corpus_pipeline.rules(spark, docs, d).select("doc_id").collect()}
-    assert ids <= ruled
+    zip_ = quality_rules.zstandard.ZstdCompressor(level=3)
+
+    def ruled(t):
+        w = words_of(t)
+        tri = Counter(zip(w, w[1:], w[2:]))
+        marks = {j for k, x in enumerate(zip(w, w[1:], w[2:])) if tri[x] > 1 for j in (k, k + 1, k + 2)}
+        return len(w) >= 50 and 100 * len(marks) <= 50 * len(w) and quality_rules.bands((t or "").encode(), zip_)[3]
+
+    left = {k for k, t in text.items() if ruled(t)}
+    frame = docs.filter(F.col("doc_id").isin(list(left)))
+    trusted = spark.read.parquet(f"{d}/labels.parquet").filter("quality = 1").select("doc_id")
+    left = {r["doc_id"] for r in language_model.quality_model(frame, trusted).collect() if r["kept"]}
+    component = brute([(k, text[k]) for k in sorted(left)])
+    left = {k for k in left if component[k] == k}
+    model = Tokenizer.from_file(registry.vocabulary())
+    want = []
+    for k in left:
+        ids = [*model.encode(text[k] or "", add_special_tokens=False).ids, 0]
+        want += [(k, p, a, n, zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes())) for p, (a, n) in enumerate(packing.cut(len(ids), packing.SEQUENCE))]
+    assert sorted(tuple(r[:5]) for r in rows) == sorted(want)
+    # What lay between the stages is gone.
+    empty = tmp_path / "empty"
+    docs.limit(0).write.parquet(f"{empty}/documents.parquet")
+    trusted.withColumn("quality", F.lit(1)).write.parquet(f"{empty}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_mix_against_a_simulation(spark):
+    """Each slot goes to the released block with the earliest deadline; when a source runs out, the others start anew."""
+    rng = random.Random(21)
+    for parts in ({"a": 5, "b": 2}, {"a": 3, "b": 3, "c": 7}, {}):
+        sizes = {s: rng.randint(1, 60) for s in ("a", "b", "c", "d")} | {None: 9}
+        rows = [(k, s, f"t{k}") for k, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+        got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), parts, block=2).collect()
+        found = {r["slot"]: (r["source"], r["block"]) for r in got}
+        left = {s: -(-n // 2) for s, n in sizes.items()}
+        begun, done, want, start = dict.fromkeys(left, 0), dict.fromkeys(left, 0), {}, 0
+        while any(left.values()):
+            live = [s for s in left if left[s]]
+            total = sum(parts.get(s, 1) for s in live)
+            at = len(want) - start
+            share = {s: Fraction(parts.get(s, 1), total) for s in live}
+            ready = [s for s in live if done[s] / share[s] < at + 1 and math.floor(done[s] / share[s]) <= at]
+            s = min(ready, key=lambda s: (math.ceil((done[s] + 1) / share[s]), s is None, s or ""))
+            want[len(want)] = (s, begun[s] + done[s])
+            done[s] += 1
+            left[s] -= 1
+            if not left[s]:
+                begun = {x: begun[x] + done[x] for x in begun}
+                done, start = dict.fromkeys(left, 0), len(want)
+        assert found == want
+
+
+def test_mix_refuses_what_is_too_large(spark):
+    frame = spark.createDataFrame([(k, f"s{k % 3}", "t") for k in range(60)], "doc_id long, source string, text string")
+    for parts in ({"s0": 0}, {"s0": mixing.PARTS}):
+        with pytest.raises(ValueError):
+            mixing.mix(frame, parts)
+    with pytest.raises(ValueError):
+        mixing.phases([1_000_003, 999_983], [10**9, 10**9]) and mixing.phases([3_000_017, 2_999_999], [10**9, 10**9])
+
+
+def test_url_filter_of_a_long_host(spark):
+    host = ".".join(["a"] * 30_000) + ".b.net"
+    frame = spark.createDataFrame([(1, f"http://{host}/x1"), (2, f"http://x{host}/")], "page_id long, url string")
+    rules = url_filters.rule_table(spark, [("b.net", "/x", "block"), ("a.b.net", "/", "allow"), (host, "/x1", "block")])
+    assert {r["page_id"]: (r["verdict"], len(r["rule"] or "")) for r in url_filters.url_filter(frame, rules).collect()} == {1: ("block", len(host) + 3), 2: ("allow", 8)}
