@@ -7,13 +7,10 @@ schedule gives the sources, and packing makes sequences of ranges of slots, numb
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from lorewell.llm import language_model, mixing, near_dedup, packing, quality_rules, registry
-from lorewell.llm.common import table
+from lorewell.llm.common import checkpointed, forget, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +41,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them goes through Parquet in the shared folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        path = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}-{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; what lies between them is a table in the shared folder until the next stage is done."""
+    docs, before = table(spark, sf_dir, "documents"), []
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+        forget(*before)
+        before = [docs]
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    forget(*before)  # packing has read its documents when it returns
+    return out
