@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch to Python. Texts can be long, so batches stay small.
-BATCH_ROWS = 512
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: Bytes of text that the vectorised code takes on at once (a longer text is one block).
 BLOCK_BYTES = 1 << 17
 #: Word characters are all but the ASCII blanks; this is the same class as ``WORD``.
@@ -28,7 +28,7 @@ _M2 = np.uint64(0x94D049BB133111EB)
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches sent to Python, for executors' memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 @cache
@@ -58,7 +58,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")  # the shuffles behind a written table serve nothing else
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -74,6 +74,11 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """A large batch in pieces, which the JVM takes on one by one."""
+    return (batch.slice(at, rows) for at in range(0, max(1, batch.num_rows), rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fits, forget, likely_in, small_batches, without
+from .common import checkpointed, fits, forget, likely_in, slices, small_batches, without
 
 #: An n-gram of up to four 16-bit units of UTF-16 is one long, the first in the lowest bits. The first unit
 #: of five is a column of its own, ``head``, and the long has the other four.
@@ -42,7 +42,7 @@ BEGIN, END = "\x02", "\x03"
 #: Units taken on at once, and n-grams gathered before they are merged.
 BLOCK_UNITS, MERGE = 1 << 18, 1 << 19
 #: Bytes of documents that are compressed together for the shuffle.
-BLOB_BYTES = 1 << 20
+BLOB_BYTES = 1 << 18
 #: A file with more bytes of text than this is several groups.
 GROUP_BYTES = 32 << 20
 #: One trusted document in so many calibrates; their quantile is the limit, in steps of 1 / STEPS of a nat.
@@ -140,9 +140,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for heads, longs, number, _ in grams(batch.column(0).to_pylist()):
             tally.add(heads, longs, np.bincount(number, minlength=len(longs)))
             if len(tally.longs[0]) > 2_000_000:
-                yield out()
+                yield from slices(out())
                 tally = _Tally()
-    yield out()
+    yield from slices(out())
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +162,9 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tally.add(heads, longs, np.zeros(len(longs)))
         if sum(t.size for t in tallies.values()) > 4 * MERGE:
             for p in list(tallies):
-                yield out(p)
+                yield from slices(out(p))
     for p in list(tallies):
-        yield out(p)
+        yield from slices(out(p))
 
 
 def _blob(columns: dict[str, pa.Array]) -> bytes:
@@ -198,7 +198,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes[part] = sizes.get(part, 0) + rows.nbytes
             if sizes[part] > BLOB_BYTES:
                 yield out(part)
-        if sum(sizes.values()) > 32 * BLOB_BYTES:
+        if sum(sizes.values()) > 128 * BLOB_BYTES:
             for part in list(held):
                 yield out(part)
     for part in list(held):

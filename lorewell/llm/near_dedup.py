@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, checkpointed, forget, likely_in, mix, small_batches, text_blocks, windows, without
+from .common import Words, checkpointed, forget, likely_in, mix, slices, small_batches, text_blocks, windows, without
 
 WIDTH, COLLECTION, SHINGLE = 3, 22, 5
 HASHES = 2 * WIDTH * COLLECTION
@@ -147,7 +147,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary())], ["node", "shingles"])
+        yield from slices(pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary())], ["node", "shingles"]), 64)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
