@@ -25,8 +25,13 @@ _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 
+#: A stored table may take so many times its files' bytes in memory; what is small enough to broadcast is judged by that.
+UNPACKED = 16
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches sent to Python, for executors' memory."""
+    """Bound what memory holds at once: Arrow batches sent to Python, and tables that Spark broadcasts by itself."""
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", str(UNPACKED))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -41,7 +41,7 @@ PERCENT = 75
 #: A pair of which fewer minhashes are equal isn't compared; at a similarity of 0.75 that has a probability below 3e-7.
 LEAST_EQUAL = 73
 #: Bytes of sets of the asking and of the answering nodes of a cell, on average.
-ASK_BYTES, ANSWER_BYTES = 1 << 20, 4 << 20
+ASK_BYTES, ANSWER_BYTES = 1 << 19, 1 << 20
 #: Tasks that share the nodes of a sub-key before they are dealt to cells.
 SALTS = 32
 
@@ -220,10 +220,10 @@ def _open_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
     every = F.sum("weight")
     plan = by_label.groupBy("a").agg(
         F.max_by("label", F.struct("weight", "label")).alias("main"), F.ceil((every - F.max("weight")) / ASK_BYTES).cast("int").alias("ask"), F.ceil(every / ANSWER_BYTES).cast("int").alias("answer"))
-    # Copies of the plan, so that a large group's nodes find it in several tasks.
+    # Copies of the plan, so that a large group's nodes find it in several tasks; as many as nodes, so they are not broadcast.
     copies = plan.filter("ask > 0").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # A block of asking nodes meets each block of all the group's nodes in one cell.
-    placed = weighed.withColumn("hash", F.xxhash64("node")).withColumn("salt", F.pmod(F.shiftright("hash", 32), F.lit(SALTS)).cast("int")).join(copies, ["a", "salt"])
+    placed = weighed.withColumn("hash", F.xxhash64("node")).withColumn("salt", F.pmod(F.shiftright("hash", 32), F.lit(SALTS)).cast("int")).join(copies.hint("merge"), ["a", "salt"])
     block = lambda c: F.pmod("hash", F.col(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     asking = placed.filter("label <> main").select("a", block("ask").alias("i"), each("answer").alias("j"), F.lit(True).alias("asks"), "node", "label")
