@@ -9,9 +9,10 @@ and a sub-key of the other, so ``COLLECTION ** 2`` tables with keys of
 
 Sub-keys that only one node has can't meet; they go before pairs of sub-keys are
 formed. Candidates are verified in two steps, on full sets. First, in each bucket
-every node is compared with the smallest one, and linked nodes form components.
-Then, where buckets still hold several components, their nodes meet once more
-by sub-key of the first collection, in cells of bounded size: the
+every node is compared with the smallest one, and linked nodes form components;
+buckets that share the smallest node and the sub-key of the first collection
+are one from there on. Then, where buckets still hold several components, their
+nodes meet once more by that sub-key, in cells of bounded size: the
 nodes outside the largest component there ask all others. A cell sees the sets
 themselves and gives one link for a node and component, so no pair of a group
 is ever a row; what isn't compared is linked already.
@@ -269,7 +270,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
     every = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"), F.max("node").alias("last"), mark(1).alias("m1"), mark(2).alias("m2")).filter("n > 1")
     hubs = checkpointed(every.groupBy("n", "hub", "last", "m1", "m2").agg(F.min("key").alias("key")).filter("hub <> last"))
-    buckets = checkpointed(keys.join(hubs.filter("n > 2").select("key", "hub"), "key").select("key", "a", "node", "hub"))
+    # Every node there is compared with the smallest one, so buckets of a sub-key with the same smallest node are one: far fewer rows than keys.
+    buckets = checkpointed(keys.join(hubs.filter("n > 2").select("key", "hub"), "key").select("a", "node", "hub").distinct())
     stars = checkpointed(hubs.filter("n = 2").select(F.col("last").alias("x"), F.col("hub").alias("y")).unionByName(buckets.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))).distinct())
     forget(shared, hubs)
     inside = checkpointed(stars.select("x").union(stars.select("y")).distinct().toDF("node"))
@@ -285,9 +287,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     forget(stars, inside, likely, edges)
 
     # What is left open: buckets with several components.
-    known = checkpointed(buckets.join(labels, "node", "left").select("key", "a", "node", F.coalesce("label", "node").alias("label")))
-    several = known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    more = _open_links(known.join(several, "key", "left_semi").select("a", "node", "label").distinct(), sets)
+    known = checkpointed(buckets.join(labels, "node", "left").select("a", "hub", "node", F.coalesce("label", "node").alias("label")))
+    several = known.groupBy("a", "hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("a", "hub")
+    more = _open_links(known.join(several, ["a", "hub"], "left_semi").select("a", "node", "label").distinct(), sets)
     forget(buckets, known, sets)
     if more.limit(1).count():
         # Components of components: a small graph.

@@ -168,6 +168,54 @@ def test_large_group_around_the_limit(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_rows_of_open_buckets(spark, monkeypatch):
+    """A row for a sub-key, node and smallest node, not one for each table; every bucket with several components is asked for."""
+    rng = random.Random(21)
+    base = made(rng, 90).split()
+    texts = []
+    for _ in range(300):
+        copy = list(base)
+        for _ in range(rng.randint(1, 8)):
+            copy[rng.randrange(len(copy))] = made(rng, 1)
+        texts.append(" ".join(copy))
+    texts = list(dict.fromkeys(texts))
+    write, ask, rows, groups = near_dedup.checkpointed, near_dedup._open_links, [], set()
+
+    def written(df):
+        out = write(df)
+        rows.extend([out.count()] if {"a", "node"} <= set(out.columns) else [])
+        return out
+
+    def asked(found, sets):
+        groups.update((r["a"], r["node"]) for r in found.collect())
+        return ask(found, sets)
+
+    monkeypatch.setattr(near_dedup, "checkpointed", written)
+    monkeypatch.setattr(near_dedup, "_open_links", asked)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(docs(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+
+    subs = near_dedup.sub_keys(near_dedup.minhashes(list(near_dedup.shingle_sets(near_dedup.pa.array(texts))))).tolist()
+    tables = {}
+    for k, sub in enumerate(subs):
+        for x in sub[: near_dedup.COLLECTION]:
+            for y in sub[near_dedup.COLLECTION :]:
+                tables.setdefault((x, y), []).append(k)
+    # Of tables with the same nodes one stands for all.
+    buckets = {}
+    for (x, _), nodes in tables.items():
+        if len(nodes) > 2:
+            buckets.setdefault(tuple(nodes), set()).add(x)
+    assert max(rows) <= len({(x, k, nodes[0]) for nodes, xs in buckets.items() for x in xs for k in nodes}) < sum(map(len, buckets)) / 2
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+    for x, y in sorted({(k, hub) for hub, *others in tables.values() for k in others}):
+        if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+            label = [label[y] if c == label[x] else c for c in label]
+    several = [(nodes, xs) for nodes, xs in buckets.items() if len({label[k] for k in nodes}) > 1]
+    assert several and all(any(all((x, k) in groups for k in nodes) for x in xs) for nodes, xs in several)
+
+
 def test_keep_first(spark, copies):
     texts = [t for _, t in copies]
     left = near_dedup.keep_first(docs(spark, texts + texts[:5], [*range(len(texts)), *range(5)]))
